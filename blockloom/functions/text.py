@@ -31,19 +31,34 @@ def tokens(text: Column) -> Column:
 
 def text_pieces(text: Column, sample_by: str = "line", keep_linebreaks: bool = False) -> Column:
     """A text as an array of lines, paragraphs, or as one document."""
+    _check_sample_by(sample_by)
     if sample_by == "document":
         return F.array(text)
     if sample_by == "paragraph":
         return F.filter(F.split(text, "\n\n"), lambda p: p != "")
-    if sample_by != "line":
-        raise ValueError(f"sample_by must be line, paragraph or document, not {sample_by!r}")
     # A newline at the very end closes the last line; it opens no further one.
     if keep_linebreaks:
         return F.filter(F.split(text, r"(?<=\n)"), lambda p: p != "")
-    body = F.regexp_replace(text, r"\n\z", "")
+    closed = F.endswith(text, F.lit("\n"))
+    body = F.when(closed, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n"))
 
 
+def count_pieces(text: Column, sample_by: str = "line") -> Column:
+    """How many pieces :func:`text_pieces` yields; lines are not split for it."""
+    _check_sample_by(sample_by)
+    if sample_by != "line":
+        return F.size(text_pieces(text, sample_by))
+    newlines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    unclosed = (text != "") & ~F.endswith(text, F.lit("\n"))
+    return newlines + unclosed.cast("int")
+
+
+def _check_sample_by(sample_by: str) -> None:
+    if sample_by not in ("line", "paragraph", "document"):
+        raise ValueError(f"sample_by must be line, paragraph or document, not {sample_by!r}")
+
+
 def merge_input(instruction: Column, extra: Column) -> Column:
     """Instruction, with a non-empty extra input on its own line below."""
     present = F.coalesce(extra, F.lit("")) != ""

@@ -26,23 +26,24 @@ def render(df: DataFrame, *, system: str = T.SYSTEM_MESSAGE, eos: str = T.EOS) -
     )
 
 
-def prompt_overheads(df: DataFrame, vocab: Vocabulary, *, key: Sequence[str], system: str = "system") -> DataFrame:
+def prompt_overheads(df: DataFrame, *, key: Sequence[str], system: str = "system") -> DataFrame:
     """Per system message ``p`` and ``q``: the token counts of the prompt's
-    prefix, its bos included, and of its suffix."""
-    texts = df.select(
+    prefix, its bos included, and of its suffix.
+
+    Unknown tokens count too, so no vocabulary is needed.
+    """
+    prefix = F.concat(F.lit(T.PROMPT_OPEN), F.col(system), F.lit(T.PROMPT_MIDDLE))
+    return df.select(
         *key,
-        F.concat(F.lit(T.PROMPT_OPEN), F.col(system), F.lit(T.PROMPT_MIDDLE)).alias("prefix"),
-        F.lit(T.PROMPT_SUFFIX).alias("suffix"),
+        (F.size(T.tokens(prefix)) + 1).alias("p"),
+        F.size(T.tokens(F.lit(T.PROMPT_SUFFIX))).alias("q"),
     )
-    fields = [Field("prefix", "prefix_ids", add_bos=True), Field("suffix", "suffix_ids", add_bos=False)]
-    both = encode_fields(texts, vocab, fields, key=key)
-    return both.select(*key, F.size("prefix_ids").alias("p"), F.size("suffix_ids").alias("q"))
 
 
-def prompt_overhead(spark: SparkSession, vocab: Vocabulary, *, system: str = T.SYSTEM_MESSAGE) -> tuple[int, int]:
+def prompt_overhead(spark: SparkSession, *, system: str = T.SYSTEM_MESSAGE) -> tuple[int, int]:
     """``(p, q)`` of one system message."""
-    one = spark.range(1).select(F.lit(0).alias("k"), F.lit(system).alias("system"))
-    row = prompt_overheads(one, vocab, key=["k"]).first()
+    one = spark.range(1).select("id", F.lit(system).alias("system"))
+    row = prompt_overheads(one, key=["id"]).first()
     return row["p"], row["q"]
 
 
@@ -188,7 +189,7 @@ def instruction_examples(
     system: str = T.SYSTEM_MESSAGE,
 ) -> DataFrame:
     """Instruction rows to ``input_ids`` and ``labels``, start to finish."""
-    p, q = prompt_overhead(df.sparkSession, vocab, system=system)
+    p, q = prompt_overhead(df.sparkSession, system=system)
     pairs = encode_pairs(df, vocab, key=key, keep=keep, system=system)
     cut = truncate(pairs, max_len=max_len, max_target=max_target, p=p, q=q, mode=mode)
     return mask_labels(cut).select(*key, *keep, "input_ids", "labels")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from blockloom.functions.text import text_pieces
+from blockloom.functions.text import count_pieces, text_pieces
 from blockloom.session import stored
 
 #: Up to this many rows one window per group is used as it is.
@@ -60,45 +60,49 @@ def running_total(
     """Add the sum of ``value`` over the earlier rows of the group, and the
     group's sum.
 
-    ``by`` + ``order`` must be unique.  Few rows: one window per group.  Many
-    rows: the keys alone are range-partitioned (a hot group spreads over many
-    partitions), summed per partition, and shifted by the sums of the
-    partitions before; the payload is moved once, by its unique key.
+    ``by`` + ``order`` must be unique.  Only the keys are sorted, and never an
+    unbounded group of them in one task.  Few rows: one window per group, and
+    the result is broadcast back, so the payload does not move.  Many rows: the
+    keys are range-partitioned (a hot group spreads over many partitions),
+    summed per partition, and shifted by the sums of the partitions before; the
+    payload moves once, by its unique key.
     """
     by, order = list(by), list(order)
     value = F.lit(1) if value is None else value
-    value = value.cast("bigint")
-    n_rows = df.count()
+    keys = df.select(*by, *order, value.cast("bigint").alias("_v"))
+    n_rows = keys.count()
+    group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
+    zero = F.lit(0).cast("bigint")
     if n_rows <= small_rows:
-        group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
         before = group.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-        return df.select(
-            "*",
-            F.coalesce(F.sum(value).over(before), F.lit(0)).cast("bigint").alias(start),
-            F.sum(value).over(group).alias(total),
+        placed = keys.select(
+            *by, *order, F.coalesce(F.sum("_v").over(before), zero).alias(start), F.sum("_v").over(group).alias(total)
         )
+        return _join_back(df, F.broadcast(placed), [*by, *order], [start, total])
 
-    keys = df.select(*by, *order, value.alias("_v"))
     parts = max(2, math.ceil(n_rows / part_rows))
     ranged = keys.repartitionByRange(parts, *by, *order).withColumn("_part", F.spark_partition_id())
     # Stored, because partition numbers may change when a lost task is redone.
     ranged = stored(ranged, "running-total")
     inside = W.partitionBy("_part", *by).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    local = ranged.withColumn("_local", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
+    local = ranged.withColumn("_local", F.coalesce(F.sum("_v").over(inside), zero))
     # One row per (group, partition): at most partitions + groups rows.
     sums = ranged.groupBy("_part", *by).agg(F.sum("_v").alias("_sum"))
-    group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     earlier = group.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     shifts = sums.select(
-        "_part",
-        *by,
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"),
-        F.sum("_sum").over(group).alias(total),
+        "_part", *by, F.coalesce(F.sum("_sum").over(earlier), zero).alias("_shift"), F.sum("_sum").over(group).alias(total)
     )
-    placed = local.join(shifts, ["_part", *by]).select(
-        *by, *order, (F.col("_local") + F.col("_shift")).cast("bigint").alias(start), total
-    )
-    return df.join(placed, [*by, *order]).select(*df.columns, start, total)
+    shifted = _join_back(local, shifts, ["_part", *by], ["_shift", total])
+    placed = shifted.select(*by, *order, (F.col("_local") + F.col("_shift")).alias(start), total)
+    return _join_back(df, placed, [*by, *order], [start, total])
+
+
+def _join_back(df: DataFrame, found: DataFrame, keys: Sequence[str], new: Sequence[str]) -> DataFrame:
+    """Bring ``new`` columns back to the rows of ``df``; null keys match too."""
+    renamed = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    right = found.select(*[F.col(k).alias(r) for k, r in renamed.items()], *new)
+    same = [df[k].eqNullSafe(right[r]) for k, r in renamed.items()]
+    return df.join(right, same).select(*[df[c] for c in df.columns], *new)
 
 
 def with_row_index(
@@ -129,10 +133,11 @@ def explode_pieces(
     group, the key, ``piece_no``, ``text``, ``row_idx`` and ``n_rows``.
     """
     by, key = list(by), list(key)
-    pieces = text_pieces(F.col(text), sample_by, keep_linebreaks)
-    texts = df.select(*by, *key, pieces.alias("_pieces"))
-    placed = running_total(texts, order=key, by=by, value=F.size("_pieces"), start="_first", total="n_rows")
-    rows = placed.select(*by, *key, "_first", "n_rows", F.posexplode("_pieces").alias("piece_no", "text"))
+    texts = df.select(*by, *key, F.col(text).alias("_text"))
+    count = count_pieces(F.col("_text"), sample_by)
+    placed = running_total(texts, order=key, by=by, value=count, start="_first", total="n_rows")
+    pieces = text_pieces(F.col("_text"), sample_by, keep_linebreaks)
+    rows = placed.select(*by, *key, "_first", "n_rows", F.posexplode(pieces).alias("piece_no", "text"))
     return rows.select(
         *by,
         *key,

@@ -1,10 +1,15 @@
-"""Vocabulary table, encoding and decoding as joins."""
+"""Vocabulary table, encoding and decoding."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,6 +20,7 @@ from blockloom.functions.text import (
     IGNORE,
     IGNORED_TEXT,
     SPECIAL_TOKENS,
+    TOKEN_SEPARATOR,
     UNK_ID,
     tokens,
 )
@@ -40,6 +46,14 @@ class Vocabulary:
     def rows(self) -> int:
         return self.max_rows if self.max_rows is not None else self.table.count()
 
+    @cached_property
+    def shared(self) -> Broadcast:
+        """The tokens in id order, for the tasks.  Only for checked sizes."""
+        rows = self.table.toArrow().sort_by("id")
+        if rows.column("id").to_pylist() != list(range(rows.num_rows)):
+            raise ValueError("the ids of a vocabulary must be 0, 1, 2, ...")
+        return self.table.sparkSession.sparkContext.broadcast(rows.column("token").to_pylist())
+
 
 def _special_rows(spark: SparkSession) -> DataFrame:
     """The special tokens, as a plan that needs no data from the driver."""
@@ -53,12 +67,9 @@ def build_vocab(df: DataFrame, *, text: str = "text", max_vocab: int | None = No
     With ``max_vocab`` (special tokens included) the ranking is a bounded
     top-k; without it the distinct tokens are ranked by a range partitioning.
     """
-    counts = (
-        df.select(F.explode(tokens(F.col(text))).alias("token"))
-        .groupBy("token")
-        .agg(F.count("*").alias("n"))
-        .where(~F.col("token").isin(*SPECIAL_TOKENS))
-    )
+    words = df.select(F.explode(F.split(text, TOKEN_SEPARATOR)).alias("token"))
+    # The empty word is none, and the special tokens have their ids already.
+    counts = words.where(~F.col("token").isin("", *SPECIAL_TOKENS)).groupBy("token").agg(F.count("*").alias("n"))
     offset = len(SPECIAL_TOKENS)
     if max_vocab is not None:
         top = counts.orderBy(F.desc("n"), "token").limit(max(max_vocab - offset, 0))
@@ -124,12 +135,74 @@ def encode_fields(
     keep: Sequence[str] = (),
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Encode several text columns in one pass.
+    """Encode several text columns; returns the key, ``keep`` and the ids.
 
-    The texts are clustered by their unique key first: they are smaller than
-    their tokens, and lookup and re-collection then stay inside the partition.
+    A vocabulary of at most ``broadcast_rows`` is handed to every task and the
+    texts are encoded where they are, with no shuffle.  A larger one is joined.
     """
     key, keep = list(key), list(keep)
+    if vocab.rows() <= broadcast_rows:
+        shared = vocab.shared
+        ids = [_encoder(shared, f.add_bos, f.add_eos)(f.text).alias(f.out) for f in fields]
+        return df.select(*key, *keep, *ids)
+    return _encode_by_join(df, vocab, fields, key, keep, broadcast_rows)
+
+
+def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool):
+    """Text to ids, a whole Arrow batch at a time."""
+
+    @F.arrow_udf("array<int>")
+    def ids_of(texts: pa.Array) -> pa.Array:
+        pieces = pc.split_pattern_regex(pc.fill_null(texts, ""), TOKEN_SEPARATOR)
+        words = pieces.flatten()
+        real = pc.not_equal(words, "")
+        found = pc.index_in(words.filter(real), value_set=pa.array(shared.value, words.type))
+        ids = pc.fill_null(found, UNK_ID).to_numpy()
+        # Where each text starts once empty words are gone and marks are added.
+        kept = np.concatenate(([0], np.cumsum(real.to_numpy(zero_copy_only=False))))
+        ends = kept[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()]
+        marks = int(add_bos) + int(add_eos)
+        rows = np.arange(len(texts))
+        offsets = ends + np.arange(len(texts) + 1) * marks
+        out = np.empty(offsets[-1], dtype=np.int32)
+        out[np.arange(len(ids)) + np.repeat(rows * marks + int(add_bos), np.diff(ends))] = ids
+        if add_bos:
+            out[offsets[:-1]] = BOS_ID
+        if add_eos:
+            out[offsets[1:] - 1] = EOS_ID
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out))
+
+    return ids_of
+
+
+def _decoder(shared: Broadcast):
+    """Ids to tokens, a whole Arrow batch at a time."""
+
+    @F.arrow_udf("array<string>")
+    def tokens_of(lists: pa.Array) -> pa.Array:
+        ids = lists.flatten()
+        ignored = pc.equal(ids, IGNORE)
+        names = pa.array(shared.value, pa.string()).take(pc.if_else(ignored, 0, ids))
+        return pa.ListArray.from_arrays(_offsets(lists), pc.if_else(ignored, IGNORED_TEXT, names))
+
+    return tokens_of
+
+
+def _offsets(lists: pa.ListArray) -> pa.Array:
+    """Offsets into the flattened values; null lists count as empty."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    return pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
+
+
+def _encode_by_join(
+    df: DataFrame, vocab: Vocabulary, fields: Sequence[Field], key: list[str], keep: list[str], limit: int
+) -> DataFrame:
+    """Encoding against a vocabulary too large to hand out.
+
+    The texts are clustered by their unique key first: they are smaller than
+    their tokens, and the re-collection then needs no further shuffle but the
+    one of the tokens that the frequent part of the vocabulary misses.
+    """
 
     def column(field: Field) -> Column:
         return F.col(field.text) if isinstance(field.text, str) else field.text
@@ -146,7 +219,7 @@ def encode_fields(
         .select(*key, *keep, F.posexplode_outer(pieces).alias("_pos", "_piece"))
         .select(*key, *keep, "_pos", "_piece.field", "_piece.token")
     )
-    looked_up = _lookup(exploded, vocab, on="token", spread=[*key, "_pos"], limit=broadcast_rows)
+    looked_up = _lookup(exploded, vocab, on="token", spread=[*key, "_pos"], limit=limit)
     # Position and id share one bigint: half the bytes of a struct, and it
     # sorts as a number.
     packed = F.shiftleft(F.col("_pos").cast("bigint"), 32).bitwiseOR(
@@ -200,6 +273,8 @@ def decode(
     Returns the key and the array of tokens.
     """
     key = list(key)
+    if vocab.rows() <= broadcast_rows:
+        return df.select(*key, _decoder(vocab.shared)(ids).alias(out))
     exploded = df.select(*key, ids).repartition(*key).select(*key, F.posexplode_outer(ids).alias("_pos", "id"))
     named = _lookup(exploded, vocab, on="id", spread=[*key, "_pos"], limit=broadcast_rows)
     token = F.when(F.col("id") == IGNORE, IGNORED_TEXT).otherwise(F.col("token"))

@@ -17,7 +17,7 @@ from blockloom.functions.hashing import seeded_hash
 from blockloom.operators.instruct import END_TOKENS, instruction_examples
 from blockloom.operators.packing import copy_labels, pack_blocks, with_scope
 from blockloom.operators.rows import with_row_index
-from blockloom.operators.sampling import SEED, check_weight, concat_sources, mix, split
+from blockloom.operators.sampling import SEED, check_weight, mix, split
 from blockloom.operators.vocab import Vocabulary, encode
 from blockloom.sources.readers import Source, load_source, read_instructions
 from blockloom.sources.writers import materialize_once, write_corpus, write_provenance
@@ -47,7 +47,7 @@ def _named(sources: Sequence[Source]) -> dict[str, Source]:
 
 def _process(
     spark: SparkSession, sources: Sequence, out_dir: str, key: dict, build: Callable[[Source], DataFrame]
-) -> tuple[dict[str, DataFrame], dict[str, float]]:
+) -> tuple[DataFrame, dict[str, float]]:
     named = _named([Source.of(s) for s in sources])
     for source in named.values():
         check_weight(source.weight)
@@ -55,26 +55,29 @@ def _process(
     def one(item: tuple[str, Source]) -> DataFrame:
         name, source = item
         facts = key | {"path": source.path, "options": source.options}
-        return materialize_once(spark, f"{out_dir}/single/{name}", facts, lambda: build(source))
+        result = lambda: build(source).withColumn("source", F.lit(name))
+        return materialize_once(spark, f"{out_dir}/single/{name}", facts, result)
 
     with ThreadPoolExecutor(PARALLEL_SOURCES) as pool:
-        tables = dict(zip(named, pool.map(one, named.items())))
-    return tables, {name: s.weight for name, s in named.items()}
+        tables = list(pool.map(one, named.items()))
+    # One scan over all sources, however many there are.
+    merged = spark.read.schema(tables[0].schema).parquet(*[f"{out_dir}/single/{name}/data" for name in named])
+    return merged, {name: s.weight for name, s in named.items()}
 
 
 def merge_sources(
-    tables: dict[str, DataFrame],
+    stored_sources: DataFrame,
     weights: dict[str, float],
     *,
     key: Sequence[str],
     test: float | int | None,
     seed: int = SEED,
 ) -> DataFrame:
-    """Mix, split and shuffle stored sources.
+    """Mix, split and shuffle stored sources, told apart by ``source``.
 
-    ``row_idx`` is the row's place in the shuffled order of its split.
+    ``place`` is the row's place in the shuffled order of its split.
     """
-    mixed = mix(concat_sources(tables), weights, key=["source", *key], seed=seed)
+    mixed = mix(stored_sources, weights, key=["source", *key], seed=seed)
     whole = ["source", *key, "copy_no"]
     parted = split(mixed, test=test, key=whole, seed=seed)
     hashed = parted.withColumn("_h", seeded_hash(whole, seed))
@@ -82,9 +85,9 @@ def merge_sources(
 
 
 def _finish(
-    spark: SparkSession, tables, weights, out_dir: str, facts: dict, *, key, test, seed: int
+    spark: SparkSession, single: DataFrame, weights: dict, out_dir: str, facts: dict, *, key, test, seed: int
 ) -> DataFrame:
-    merged = merge_sources(tables, weights, key=key, test=test, seed=seed)
+    merged = merge_sources(single, weights, key=key, test=test, seed=seed)
     write_corpus(merged.select(F.col("place").alias("row_idx"), "input_ids", "labels", "split"), f"{out_dir}/merged")
     write_provenance(spark, f"{out_dir}/provenance", facts | {"weights": weights, "test": str(test), "seed": seed})
     return merged
@@ -127,11 +130,11 @@ def build_pretraining_corpus(
         )
         return copy_labels(blocks)
 
-    tables, weights = _process(spark, sources, out_dir, facts, build)
+    single, weights = _process(spark, sources, out_dir, facts, build)
     if not merge:
         return None
     key = ["file", "shard", "batch", "block"]
-    return _finish(spark, tables, weights, out_dir, facts, key=key, test=test, seed=seed)
+    return _finish(spark, single, weights, out_dir, facts, key=key, test=test, seed=seed)
 
 
 def build_instruction_corpus(
@@ -163,7 +166,7 @@ def build_instruction_corpus(
             rows, vocab, key=["file", "row_idx"], max_len=max_len, max_target=max_target, mode=mode
         )
 
-    tables, weights = _process(spark, sources, out_dir, facts, build)
+    single, weights = _process(spark, sources, out_dir, facts, build)
     if not merge:
         return None
-    return _finish(spark, tables, weights, out_dir, facts, key=["file", "row_idx"], test=test, seed=seed)
+    return _finish(spark, single, weights, out_dir, facts, key=["file", "row_idx"], test=test, seed=seed)

@@ -22,7 +22,6 @@ from blockloom.queries.registry import (
     sql_digest,
     sql_tokens,
     table,
-    vocabulary,
 )
 
 KEY = ["conv_id", "turn"]
@@ -96,12 +95,11 @@ def prompt_overhead(spark: SparkSession, d: str) -> DataFrame:
     """The overhead of every system message in use."""
     chats = table(spark, d, "conversations").where(F.col("role") == "system")
     systems = chats.groupBy("conv_id").agg(F.max_by("text", "turn").alias("system"))
-    return I.prompt_overheads(systems, vocabulary(spark, d), key=["conv_id"])
+    return I.prompt_overheads(systems, key=["conv_id"])
 
 
 def _truncated(spark: SparkSession, d: str, mode: str = "head_tail") -> DataFrame:
-    vocab = vocabulary(spark, d)
-    p, q = I.prompt_overhead(spark, vocab)
+    p, q = I.prompt_overhead(spark)
     return I.truncate(pairs(spark, d), max_len=MAX_LEN, max_target=MAX_TARGET, p=p, q=q, mode=mode, cap=CAP)
 
 

@@ -39,18 +39,28 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table scanned by fewer tasks than there are cores, over all cores.
+
+    Only ever true of small files: a large table has tasks enough.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def digest(ids: Column) -> Column:
     """An array as one comparable value."""
     return F.md5(F.array_join(ids.cast("array<string>"), ","))
 
 
 def vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
-    return build_vocab(table(spark, folder, "documents"), max_vocab=VOCAB_ROWS)
+    docs = table(spark, folder, "documents").select("text")
+    return build_vocab(spread(docs), max_vocab=VOCAB_ROWS)
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of the documents, each source standing for one file."""
-    docs = table(spark, folder, "documents").select("source", "doc_id", "text")
+    docs = spread(table(spark, folder, "documents").select("source", "doc_id", "text"))
     return explode_pieces(docs, key=["doc_id"]).withColumnRenamed("piece_no", "line_no")
 
 
@@ -65,7 +75,7 @@ def encoded_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def encoded_docs(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    docs = spread(table(spark, folder, "documents").select("doc_id", "source", "lang", "text"))
     return encode(docs, vocabulary(spark, folder), key=["doc_id"], keep=["source", "lang"], add_eos=True)
 
 

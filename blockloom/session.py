@@ -17,15 +17,26 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+#: Input per shuffle partition.
+PARTITION_BYTES = 128 * 1024 * 1024
+
 _scratch_roots: dict[str, str] = {}
 
 
-def build_session(app: str = "blockloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the library defaults; ``conf`` keys use ``__`` for dots."""
+def build_session(
+    app: str = "blockloom", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the library defaults; ``conf`` keys use ``__`` for dots.
+
+    ``input_bytes`` sizes the shuffles: one partition per 128 MB of input, which
+    adaptive execution merges again where a stage turns out smaller.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = DEFAULTS | {k.replace("__", "."): str(v) for k, v in conf.items()}
+    if input_bytes is not None:
+        settings.setdefault("spark.sql.shuffle.partitions", str(max(200, input_bytes // PARTITION_BYTES)))
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
