@@ -67,9 +67,10 @@ def _flag_first_k(
     return marked.withColumn("_in", F.coalesce(below, F.lit(False))).drop("_h", "_cut_h", "_cut_key")
 
 
-def _flag_whole(df: DataFrame, key: list[str], seed: int, wanted: DataFrame) -> DataFrame:
+def _flag_whole(df: DataFrame, key: list[str], seed: int, k: int) -> DataFrame:
     """As :func:`_flag_first_k` for one group: the cut is one row of values."""
     keys = df.select(*key).withColumn("_h", seeded_hash(key, seed)).withColumn("_g", F.lit(0))
+    wanted = df.sparkSession.range(1).select(F.lit(0).alias("_g"), F.lit(k).cast("bigint").alias("_k"))
     cut = _cuts(keys, ["_g"], key, wanted).first()
     if cut is None:
         return df.withColumn("_in", F.lit(False))
@@ -79,22 +80,6 @@ def _flag_whole(df: DataFrame, key: list[str], seed: int, wanted: DataFrame) ->
     return df.withColumn("_in", below)
 
 
-def _flag_sample(
-    df: DataFrame, *, key: Sequence[str], k: int | None, frac: float | None, by: Sequence[str], seed: int
-) -> DataFrame:
-    if (k is None) == (frac is None):
-        raise ValueError("give either k or frac")
-    by, key = list(by), list(key)
-    n = F.count("*")
-    size = F.lit(k) if k is not None else F.ceil(n * F.lit(float(frac)))
-    size = F.least(size.cast("bigint"), n).alias("_k")
-    if not by:
-        return _flag_whole(df, key, seed, df.agg(size).withColumn("_g", F.lit(0)))
-    wanted = df.groupBy(*by).agg(size)
-    few = wanted.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
-    return _flag_first_k(df, by, key, seed, wanted, few)
-
-
 def exact_sample(
     df: DataFrame,
     *,
@@ -106,7 +91,19 @@ def exact_sample(
 ) -> DataFrame:
     """Exactly ``k`` rows, or ``ceil(n * frac)`` rows, without replacement,
     per group of ``by``; all rows of a group that has no more."""
-    return _flag_sample(df, key=key, k=k, frac=frac, by=by, seed=seed).where("_in").drop("_in")
+    if (k is None) == (frac is None):
+        raise ValueError("give either k or frac")
+    by, key = list(by), list(key)
+    if by:
+        n = F.count("*")
+        size = F.lit(k) if k is not None else F.ceil(n * F.lit(float(frac)))
+        wanted = df.groupBy(*by).agg(F.least(size.cast("bigint"), n).alias("_k"))
+        few = wanted.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+        flagged = _flag_first_k(df, by, key, seed, wanted, few)
+    else:
+        n = df.count()
+        flagged = _flag_whole(df, key, seed, min(n, k if k is not None else math.ceil(n * frac)))
+    return flagged.where("_in").drop("_in")
 
 
 def upsample(df: DataFrame, k: int) -> DataFrame:
@@ -191,7 +188,7 @@ def split(df: DataFrame, *, test: float | int | None, key: Sequence[str], seed:
         k = test
     if not 0 < k < n:
         raise ValueError(f"{k} test rows out of {n} leave one side empty")
-    flagged = _flag_sample(df, key=key, k=k, frac=None, by=(), seed=seed)
+    flagged = _flag_whole(df, list(key), seed, k)
     return flagged.withColumn("split", F.when(F.col("_in"), "test").otherwise("train")).drop("_in")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from blockloom.operators.instruct import encode_pairs
 from blockloom.operators.rows import explode_pieces, with_row_index
 from blockloom.operators.vocab import Vocabulary, build_vocab, encode
+from blockloom.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,7 +54,20 @@ def digest(ids: Column) -> Column:
     return F.md5(F.array_join(ids.cast("array<string>"), ","))
 
 
+_vocabularies: dict[tuple[str, str], Vocabulary] = {}
+
+
 def vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
+    """The vocabulary of a folder's documents, built once per application and
+    stored, as a tokenizer is trained once and then loaded."""
+    known = (spark.sparkContext.applicationId, folder)
+    if known not in _vocabularies:
+        built = trained_vocabulary(spark, folder)
+        _vocabularies[known] = Vocabulary(stored(built.table, "vocabulary"), built.max_rows)
+    return _vocabularies[known]
+
+
+def trained_vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
     docs = table(spark, folder, "documents").select("text")
     return build_vocab(spread(docs), max_vocab=VOCAB_ROWS)
 

@@ -19,13 +19,14 @@ from blockloom.queries.registry import (
     query,
     sql_digest,
     table,
+    trained_vocabulary,
     vocabulary,
 )
 
 
 @query("build_vocab", f"WITH {SQL_VOCAB} SELECT token, id FROM vocab")
 def build_vocab(spark: SparkSession, d: str) -> DataFrame:
-    return vocabulary(spark, d).table
+    return trained_vocabulary(spark, d).table
 
 
 @query(
