@@ -56,13 +56,11 @@ def materialize_once(
 
 
 def write_corpus(df: DataFrame, folder: str, *, order: str = "row_idx", file_rows: int = FILE_ROWS) -> None:
-    """Write ``train/`` and, if there are any rows for it, ``test/``.
+    """Write ``train/`` and ``test/``, the latter empty without a split.
 
     Files follow each other in row order, in parallel.
     """
     for split in ("train", "test"):
         part = df.where(F.col("split") == split).drop("split")
-        if split == "test" and part.isEmpty():
-            continue
         ordered = part.repartitionByRange(order).sortWithinPartitions(order)
         ordered.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(f"{folder}/{split}")
