@@ -32,46 +32,58 @@ def shuffle(df: DataFrame, *, key: Sequence[str], seed: int = SEED, out: str = "
     return with_row_index(hashed, order=["_h", *key], out=out, total="_n").drop("_h", "_n")
 
 
-def _cuts(keys: DataFrame, by: list[str], key: list[str], wanted: DataFrame) -> DataFrame:
-    """Per group the hash and key of its ``k``-th row; ``wanted`` is (by, k).
+def _cuts(keys: DataFrame, key: list[str], wanted: DataFrame, few_groups: bool) -> DataFrame:
+    """Per group ``_g`` the hash and key of its ``_k``-th row.
 
-    ``keys`` holds ``by``, ``key`` and ``_h``.
+    ``keys`` holds ``_g``, ``key`` and ``_h``; ``wanted`` holds ``_g`` and
+    ``_k``.  With few groups not even the keys move, but for the counts and
+    the one bucket per group.
     """
     bucketed = keys.withColumn("_b", hash_bucket(F.col("_h")))
-    histogram = bucketed.groupBy(*by, "_b").agg(F.count("*").alias("_c"))
+    histogram = bucketed.groupBy("_g", "_b").agg(F.count("*").alias("_c"))
     # At most 65,536 rows per group, however large the group.
-    upto = W.partitionBy(*by).orderBy("_b").rowsBetween(W.unboundedPreceding, 0)
-    running = histogram.withColumn("_upto", F.sum("_c").over(upto)).join(wanted, by)
+    upto = W.partitionBy("_g").orderBy("_b").rowsBetween(W.unboundedPreceding, 0)
+    running = histogram.withColumn("_upto", F.sum("_c").over(upto)).join(wanted, "_g")
     edge = running.where((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_c") < F.col("_k"))).select(
-        *by, "_b", (F.col("_k") - F.col("_upto") + F.col("_c")).alias("_need")
+        "_g", "_b", (F.col("_k") - F.col("_upto") + F.col("_c")).alias("_need")
     )
     # Only the bucket the cut falls into is ranked: 1/65,536 of a group.
-    inside = W.partitionBy(*by).orderBy("_h", *key)
-    ranked = bucketed.join(edge, [*by, "_b"]).withColumn("_r", F.row_number().over(inside))
-    at = ranked.where(F.col("_r") == F.col("_need"))
-    return at.select(*by, F.col("_h").alias("_cut_h"), F.struct(*key).alias("_cut_key"))
+    inside = W.partitionBy("_g").orderBy("_h", *key)
+    ranked = bucketed.join(F.broadcast(edge) if few_groups else edge, ["_g", "_b"])
+    at = ranked.withColumn("_r", F.row_number().over(inside)).where(F.col("_r") == F.col("_need"))
+    return at.select("_g", F.col("_h").alias("_cut_h"), F.struct(*key).alias("_cut_key"))
 
 
 def _flag_first_k(
     df: DataFrame, by: list[str], key: list[str], seed: int, wanted: DataFrame, few_groups: bool, among=None
 ) -> DataFrame:
-    """Add ``_in``: whether a row is among its group's first ``_k`` by hash."""
-    keys = (df if among is None else df.where(among)).select(*by, *key)
-    cuts = _cuts(keys.withColumn("_h", seeded_hash(key, seed)), by, key, wanted)
+    """Add ``_in``: whether a row is among its group's first ``_k`` by hash.
+
+    Groups are compared as structs, so a null group is one like any other.
+    """
+    group = F.struct(*by).alias("_g")
+    keys = (df if among is None else df.where(among)).select(group, *key, seeded_hash(key, seed).alias("_h"))
+    cuts = _cuts(keys, key, wanted.select(group, "_k"), few_groups)
     # One row per group: where the groups are known to be few, no row of the
     # payload moves for it, however large its group.
-    marked = df.withColumn("_h", seeded_hash(key, seed)).join(F.broadcast(cuts) if few_groups else cuts, by, "left")
+    marked = df.select("*", group, seeded_hash(key, seed).alias("_h")).join(
+        F.broadcast(cuts) if few_groups else cuts, "_g", "left"
+    )
     below = F.struct(F.col("_h").alias("h"), F.struct(*key).alias("k")) <= F.struct(
         F.col("_cut_h").alias("h"), F.col("_cut_key").alias("k")
     )
-    return marked.withColumn("_in", F.coalesce(below, F.lit(False))).drop("_h", "_cut_h", "_cut_key")
+    return marked.withColumn("_in", F.coalesce(below, F.lit(False))).drop("_g", "_h", "_cut_h", "_cut_key")
+
+
+def _are_few(groups: DataFrame) -> bool:
+    return groups.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
 
 
 def _flag_whole(df: DataFrame, key: list[str], seed: int, k: int) -> DataFrame:
     """As :func:`_flag_first_k` for one group: the cut is one row of values."""
-    keys = df.select(*key).withColumn("_h", seeded_hash(key, seed)).withColumn("_g", F.lit(0))
+    keys = df.select(F.lit(0).alias("_g"), *key, seeded_hash(key, seed).alias("_h"))
     wanted = df.sparkSession.range(1).select(F.lit(0).alias("_g"), F.lit(k).cast("bigint").alias("_k"))
-    cut = _cuts(keys, ["_g"], key, wanted).first()
+    cut = _cuts(keys, key, wanted, True).first()
     if cut is None:
         return df.withColumn("_in", F.lit(False))
     hashed = seeded_hash(key, seed)
@@ -98,8 +110,7 @@ def exact_sample(
         n = F.count("*")
         size = F.lit(k) if k is not None else F.ceil(n * F.lit(float(frac)))
         wanted = df.groupBy(*by).agg(F.least(size.cast("bigint"), n).alias("_k"))
-        few = wanted.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
-        flagged = _flag_first_k(df, by, key, seed, wanted, few)
+        flagged = _flag_first_k(df, by, key, seed, wanted, _are_few(wanted))
     else:
         n = df.count()
         flagged = _flag_whole(df, key, seed, min(n, k if k is not None else math.ceil(n * frac)))
@@ -152,7 +163,6 @@ def mix(
     spark = df.sparkSession
     table = spark.createDataFrame(list(weights.items()), f"{source} string, _weight double")
     how = "left" if default is not None else "inner"
-    few = len(weights) <= FEW_GROUPS and default is None
     weighted = df.join(F.broadcast(table) if len(weights) <= FEW_GROUPS else table, source, how)
     if default is not None:
         weighted = weighted.withColumn("_weight", F.coalesce("_weight", F.lit(float(default))))
@@ -162,6 +172,10 @@ def mix(
         .agg(F.count("*").alias("_n"), F.first("_weight").alias("_w"))
         .select(source, F.ceil(F.col("_n") * F.col("_w")).cast("bigint").alias("_k"))
     )
+    # Only sources with a share need a cut; unless the default is a share, the
+    # caller's list bounds them.
+    listed = default is None or default >= 1
+    few = len(weights) <= FEW_GROUPS if listed else _are_few(wanted)
     flagged = _flag_first_k(weighted, [source], list(key), seed, wanted, few, among=F.col("_weight") < 1)
     copies = F.greatest(F.lit(1), F.col("_weight").cast("int"))
     return (

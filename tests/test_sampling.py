@@ -38,6 +38,14 @@ def test_share_per_group_with_a_hot_group(spark, partitions):
     assert sorted(r["k"] for r in M.exact_sample(df, key=["k"], k=10**6, by=["g"]).collect()) == list(range(500))
 
 
+def test_a_null_group_is_a_group(spark):
+    df = keyed(spark, 40).withColumn("g", F.when(F.col("k") % 2 == 0, "even"))
+    got = [r["k"] for r in M.exact_sample(df, key=["k"], k=5, by=["g"]).collect()]
+    assert sorted(got) == sorted(by_hash(range(0, 40, 2))[:5] + by_hash(range(1, 40, 2))[:5])
+    mixed = M.mix(df.withColumnRenamed("g", "source"), {"even": 2}, key=["k"], default=0.5)
+    assert mixed.where("source IS NULL").count() == 10 and mixed.where("source = 'even'").count() == 40
+
+
 def test_rejects_unclear_requests(spark):
     for options in ({}, {"k": 1, "frac": 0.5}):
         with pytest.raises(ValueError):
