@@ -64,11 +64,11 @@ def _flag_first_k(
     group = F.struct(*by).alias("_g")
     keys = (df if among is None else df.where(among)).select(group, *key, seeded_hash(key, seed).alias("_h"))
     cuts = _cuts(keys, key, wanted.select(group, "_k"), few_groups)
-    # One row per group: where the groups are known to be few, no row of the
-    # payload moves for it, however large its group.
-    marked = df.select("*", group, seeded_hash(key, seed).alias("_h")).join(
-        F.broadcast(cuts) if few_groups else cuts, "_g", "left"
-    )
+    if few_groups:
+        # One row per group, found once: the result is a mere filter, and no
+        # row of the payload moves for it, however large its group.
+        cuts = F.broadcast(df.sparkSession.createDataFrame(cuts.collect(), cuts.schema))
+    marked = df.select("*", group, seeded_hash(key, seed).alias("_h")).join(cuts, "_g", "left")
     below = F.struct(F.col("_h").alias("h"), F.struct(*key).alias("k")) <= F.struct(
         F.col("_cut_h").alias("h"), F.col("_cut_key").alias("k")
     )
