@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -148,16 +148,18 @@ def encode_fields(
     return _encode_by_join(df, vocab, fields, key, keep, broadcast_rows)
 
 
+# The two functions below travel to the tasks whole: what they call is defined
+# inside, so that workers need not have this package.
+
+
 def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool):
     """Text to ids, a whole Arrow batch at a time."""
 
-    @F.arrow_udf("array<int>")
-    def ids_of(texts: pa.Array) -> pa.Array:
+    def encoded(texts: pa.Array, known: pa.Array) -> pa.Array:
         pieces = pc.split_pattern_regex(pc.fill_null(texts, ""), TOKEN_SEPARATOR)
         words = pieces.flatten()
         real = pc.not_equal(words, "")
-        found = pc.index_in(words.filter(real), value_set=pa.array(shared.value, words.type))
-        ids = pc.fill_null(found, UNK_ID).to_numpy()
+        ids = pc.fill_null(pc.index_in(words.filter(real), value_set=known), UNK_ID).to_numpy()
         # Where each text starts once empty words are gone and marks are added.
         kept = np.concatenate(([0], np.cumsum(real.to_numpy(zero_copy_only=False))))
         ends = kept[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()]
@@ -172,26 +174,34 @@ def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool):
             out[offsets[1:] - 1] = EOS_ID
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out))
 
+    @F.arrow_udf("array<int>")
+    def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = pa.array(shared.value, pa.string())
+        for texts in batches:
+            yield encoded(texts, known)
+
     return ids_of
 
 
 def _decoder(shared: Broadcast):
     """Ids to tokens, a whole Arrow batch at a time."""
 
-    @F.arrow_udf("array<string>")
-    def tokens_of(lists: pa.Array) -> pa.Array:
+    def decoded(lists: pa.Array, known: pa.Array) -> pa.Array:
         ids = lists.flatten()
         ignored = pc.equal(ids, IGNORE)
-        names = pa.array(shared.value, pa.string()).take(pc.if_else(ignored, 0, ids))
-        return pa.ListArray.from_arrays(_offsets(lists), pc.if_else(ignored, IGNORED_TEXT, names))
-
-    return tokens_of
+        names = known.take(pc.if_else(ignored, 0, ids))
+        # Null lists count as empty.
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pc.if_else(ignored, IGNORED_TEXT, names))
 
+    @F.arrow_udf("array<string>")
+    def tokens_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = pa.array(shared.value, pa.string())
+        for lists in batches:
+            yield decoded(lists, known)
 
-def _offsets(lists: pa.ListArray) -> pa.Array:
-    """Offsets into the flattened values; null lists count as empty."""
-    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-    return pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
+    return tokens_of
 
 
 def _encode_by_join(

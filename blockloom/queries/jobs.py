@@ -31,20 +31,20 @@ from blockloom.sources import load_corpus
 from blockloom.streaming import incremental_sources
 
 
-def _code_points(batch: pd.DataFrame) -> pd.DataFrame:
-    """A tokenizer of the simplest kind: one id per character."""
-    ids = [[ord(c) for c in text] for text in batch["text"]]
-    return pd.DataFrame({"doc_id": batch["doc_id"], "n": [len(i) for i in ids], "total": [sum(i) for i in ids]})
-
-
 @query(
     "map_batches",
     """SELECT doc_id, CAST(length(text) AS BIGINT) AS n,
        CAST(list_sum(list_transform(regexp_extract_all(text, '(?s).'), lambda c: unicode(c))) AS BIGINT) AS total FROM documents""",
 )
 def user_batches(spark: SparkSession, d: str) -> DataFrame:
+    """A tokenizer of the simplest kind: one id per character."""
+
+    def code_points(batch: pd.DataFrame) -> pd.DataFrame:
+        ids = [[ord(c) for c in text] for text in batch["text"]]
+        return pd.DataFrame({"doc_id": batch["doc_id"], "n": [len(i) for i in ids], "total": [sum(i) for i in ids]})
+
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return map_batches(docs, _code_points, "doc_id bigint, n bigint, total bigint")
+    return map_batches(docs, code_points, "doc_id bigint, n bigint, total bigint")
 
 
 @query(

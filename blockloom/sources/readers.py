@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from blockloom.functions.text import file_stem
+from blockloom.functions.text import file_stem, url_decode
 from blockloom.operators.rows import project_required
 from blockloom.session import stored
 
@@ -174,7 +174,7 @@ def read_dir(spark: SparkSession, folder: str, *, suffix: str = "txt", first_onl
     if first_only:
         first = raw.agg(F.min("_metadata.file_path")).first()[0]
         raw = raw.where(F.col("_metadata.file_path") == first)
-    return _indexed(raw, columns).withColumn("source", file_stem(F.col("file")))
+    return _indexed(raw, columns).withColumn("source", url_decode(file_stem(F.col("file"))))
 
 
 def load_corpus(spark: SparkSession, folder: str, split: str | None = None) -> DataFrame:
@@ -209,6 +209,6 @@ def scan_corpus_dirs(spark: SparkSession, root: str, *, split: str = "train") ->
         opened.append(path)
     if not opened:
         raise ValueError(f"no corpus below {root}")
-    name = F.regexp_extract("_metadata.file_path", rf"([^/]+)/{split}/[^/]+$", 1)
+    name = url_decode(F.regexp_extract("_metadata.file_path", rf"([^/]+)/{split}/[^/]+$", 1))
     rows = spark.read.schema(schema).parquet(*opened)
     return rows.select(name.alias("name"), *project_required(rows, schema.names).columns)

@@ -80,9 +80,9 @@ def test_instruction_files(spark, tmp_path):
 
 
 def test_folder(spark, tmp_path):
-    for name in ("b.txt", "a.txt", "c.json"):
+    for name in ("b c.txt", "a.txt", "c.json"):
         (tmp_path / name).write_text('{"text": "%s"}\n' % name)
-    assert {r["source"] for r in S.read_dir(spark, str(tmp_path)).collect()} == {"a", "b"}
+    assert {r["source"] for r in S.read_dir(spark, str(tmp_path)).collect()} == {"a", "b c"}
     assert {r["source"] for r in S.read_dir(spark, str(tmp_path), first_only=True).collect()} == {"a"}
     assert rows(S.read_dir(spark, str(tmp_path), suffix="json")) == ["c.json"]
 
