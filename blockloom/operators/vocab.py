@@ -29,6 +29,8 @@ from blockloom.session import stored
 
 #: A lookup table with more rows than this is not broadcast whole.
 BROADCAST_ROWS = 1_000_000
+#: Up to this many distinct tokens are ranked as they are.
+DIRECT_ROWS = 5_000_000
 #: Copies of the rare part of an oversized lookup table, to spread hot misses.
 SALTS = 16
 
@@ -61,27 +63,45 @@ def _special_rows(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.posexplode(named).alias("id", "token")).select("token", "id")
 
 
-def build_vocab(df: DataFrame, *, text: str = "text", max_vocab: int | None = None) -> Vocabulary:
+def build_vocab(
+    df: DataFrame, *, text: str = "text", max_vocab: int | None = None, direct_rows: int = DIRECT_ROWS
+) -> Vocabulary:
     """Rank tokens by (count desc, token) behind the special tokens.
 
-    With ``max_vocab`` (special tokens included) the ranking is a bounded
-    top-k; without it the distinct tokens are ranked by a range partitioning.
+    The counts are stored, as they are read more than once.  With ``max_vocab``
+    (special tokens included) only the top is ranked; where there are very many
+    tokens, those below the count at the cap are dropped first, so that not
+    every partition sends a whole top of its own.  Without a cap all distinct
+    tokens are ranked by a range partitioning.
     """
     words = df.select(F.explode(F.split(text, TOKEN_SEPARATOR)).alias("token"))
     # The empty word is none, and the special tokens have their ids already.
     counts = words.where(~F.col("token").isin("", *SPECIAL_TOKENS)).groupBy("token").agg(F.count("*").alias("n"))
+    counts = stored(counts.select("token", (-F.col("n")).alias("minus_n")), "token-counts")
     offset = len(SPECIAL_TOKENS)
-    if max_vocab is not None:
-        top = counts.orderBy(F.desc("n"), "token").limit(max(max_vocab - offset, 0))
-        rank = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.desc("n"), "token")) - 1
-        ranked = top.select("token", (rank + offset).cast("int").alias("id"))
-    else:
-        counts = stored(counts.select("token", (-F.col("n")).alias("minus_n")), "token-counts")
+    special = _special_rows(df.sparkSession)
+    if max_vocab is None:
         ranked = with_row_index(counts, order=["minus_n", "token"]).select(
             "token", (F.col("row_idx") + offset).cast("int").alias("id")
         )
-    table = _special_rows(df.sparkSession).unionByName(ranked)
-    return Vocabulary(table if max_vocab is not None else stored(table, "vocab"), max_vocab)
+        return Vocabulary(stored(special.unionByName(ranked), "vocab"))
+    wanted = max(max_vocab - offset, 0)
+    if counts.count() > direct_rows:
+        counts = counts.where(F.col("minus_n") <= _count_at(counts, wanted))
+    top = counts.orderBy("minus_n", "token").limit(wanted)
+    rank = F.row_number().over(W.partitionBy(F.lit(0)).orderBy("minus_n", "token")) - 1
+    ranked = top.select("token", (rank + offset).cast("int").alias("id"))
+    return Vocabulary(special.unionByName(ranked), max_vocab)
+
+
+def _count_at(counts: DataFrame, place: int) -> int:
+    """The (negative) count of the token at a place of the ranking.
+
+    Few counts occur: their number grows with the square root of the corpus.
+    """
+    upto = W.partitionBy(F.lit(0)).orderBy("minus_n").rowsBetween(W.unboundedPreceding, 0)
+    running = counts.groupBy("minus_n").agg(F.count("*").alias("c")).withColumn("upto", F.sum("c").over(upto))
+    return running.where(F.col("upto") >= place).agg(F.min("minus_n")).first()[0] or 0
 
 
 def _lookup(probe: DataFrame, vocab: Vocabulary, *, on: str, spread: Sequence[str], limit: int) -> DataFrame:

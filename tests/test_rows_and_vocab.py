@@ -82,9 +82,20 @@ def test_vocab_order_and_cap(spark):
     full = V.build_vocab(df)
     want = [("<unk>", 0), ("<s>", 1), ("</s>", 2), ("<pad>", 3), ("a", 4), ("c", 5), ("b", 6)]
     assert [tuple(r) for r in full.table.orderBy("id").collect()] == want
-    capped = V.build_vocab(df, max_vocab=6)
-    assert [tuple(r) for r in capped.table.orderBy("id").collect()] == want[:6]
-    assert full.rows() == 7 and capped.rows() == 6
+    for direct in (0, 100):
+        for cap in (3, 4, 5, 6, 7, 50):
+            capped = V.build_vocab(df, max_vocab=cap, direct_rows=direct)
+            assert [tuple(r) for r in capped.table.orderBy("id").collect()] == want[: max(cap, 4)]
+    assert full.rows() == 7 and capped.rows() == 50
+
+
+@pytest.mark.parametrize("direct", (0, 10**6))
+def test_capped_ranking_equals_the_full_one(spark, direct):
+    df = texts(spark, random_texts(n=40) + [f"rare{i}" for i in range(40)])
+    full = [tuple(r) for r in V.build_vocab(df).table.orderBy("id").collect()]
+    for cap in (10, 30, 50):
+        capped = V.build_vocab(df, max_vocab=cap, direct_rows=direct)
+        assert [tuple(r) for r in capped.table.orderBy("id").collect()] == full[:cap]
 
 
 @pytest.mark.parametrize("partitions", PARTITIONS)
