@@ -54,7 +54,17 @@ def chat_prompts(df: DataFrame, *, key: str = "conv_id", order: str = "turn", sy
     return turns.select(key, F.coalesce("_plain", built).alias("prompt"))
 
 
+# The wording of the answers to requests that break a rule.
+UNKNOWN_MODEL = ("The model `", "` does not exist.")
+NO_ECHO = "echo is not currently supported"
+NO_SUFFIX = "suffix is not currently supported"
+NO_BIAS = "logit_bias is not currently supported"
+NO_PROMPT = "please provide at least one prompt"
+MANY_PROMPTS = "multiple prompts in a batch is not currently supported"
+
+
 def _too_long(n: Column, wanted: Column, limit: int) -> Column:
+    # Fixed wording, like the above.
     return F.concat(
         F.lit(f"This model's maximum context length is {limit} tokens. However, you requested "),
         (n + wanted).cast("string"),
@@ -107,12 +117,12 @@ def request_status(df: DataFrame, *, served: str, limit: int) -> DataFrame:
     model = F.coalesce(F.col("model") != served, F.lit(True))
     n, wanted = F.col("n_prompt"), F.col("max_tokens")
     rules = [
-        (model, 404, F.concat(F.lit("The model `"), F.col("model"), F.lit("` does not exist."))),
-        (~chat & F.col("echo"), 400, F.lit("echo is not currently supported")),
-        (~chat & F.col("suffix").isNotNull(), 400, F.lit("suffix is not currently supported")),
-        (F.col("logit_bias").isNotNull(), 400, F.lit("logit_bias is not currently supported")),
-        (~chat & (F.size("prompts") == 0), 400, F.lit("please provide at least one prompt")),
-        (~chat & (F.size("prompts") > 1), 400, F.lit("multiple prompts in a batch is not currently supported")),
+        (model, 404, F.concat(F.lit(UNKNOWN_MODEL[0]), F.col("model"), F.lit(UNKNOWN_MODEL[1]))),
+        (~chat & F.col("echo"), 400, F.lit(NO_ECHO)),
+        (~chat & F.col("suffix").isNotNull(), 400, F.lit(NO_SUFFIX)),
+        (F.col("logit_bias").isNotNull(), 400, F.lit(NO_BIAS)),
+        (~chat & (F.size("prompts") == 0), 400, F.lit(NO_PROMPT)),
+        (~chat & (F.size("prompts") > 1), 400, F.lit(MANY_PROMPTS)),
         (chat & (n + wanted > limit), 400, _too_long(n, wanted, limit)),
     ]
     status, message = _first_failure(rules)

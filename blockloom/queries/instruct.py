@@ -14,7 +14,6 @@ from blockloom.queries.registry import (
     SQL_INSTRUCTIONS,
     SQL_PAIRS,
     SQL_PROMPT,
-    SQL_VOCAB,
     digest,
     instructions,
     pairs,

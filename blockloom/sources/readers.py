@@ -82,6 +82,11 @@ def _indexed(raw: DataFrame, columns: dict[str, Column]) -> DataFrame:
     )
 
 
+def _newlines(text: Column) -> Column:
+    """Carriage returns, alone or before a newline, as newlines."""
+    return F.regexp_replace(text, "\r\n?", "\n")
+
+
 def read_text(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -96,10 +101,13 @@ def read_text(
         whole = spark.read.text(paths, wholetext=True)
         one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
         return whole.select(
-            F.col("_metadata.file_path").alias("file"), zero.alias("row_idx"), one.alias("n_rows"), value.alias("text")
+            F.col("_metadata.file_path").alias("file"), zero.alias("row_idx"), one.alias("n_rows"), _newlines(value).alias("text")
         )
     if sample_by == "paragraph":
-        return _indexed(spark.read.text(paths, lineSep="\n\n").where(value != ""), {"text": value})
+        # Files with other line ends come in larger records; these are split here.
+        pieces = F.filter(F.split(_newlines(value), "\n\n"), lambda p: p != "")
+        raw = spark.read.text(paths, lineSep="\n\n").select("_metadata", F.explode(pieces).alias("value"))
+        return _indexed(raw, {"text": value})
     if sample_by != "line":
         raise ValueError(f"sample_by must be line, paragraph or document, not {sample_by!r}")
     if not keep_linebreaks:

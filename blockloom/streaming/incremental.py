@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +17,9 @@ def incremental_sources(
     transform: Callable[[DataFrame], DataFrame],
     *,
     files_per_batch: int | None = None,
-) -> DataFrame:
+) -> DataFrame | None:
     """Run ``transform`` over the text files that arrived since the last call,
-    then return everything stored so far.
+    then return everything stored so far, if anything is.
 
     ``transform`` gets ``file, block, at, text`` of one micro-batch; sorting by
     ``file, block, at`` gives file order.  A repeated micro-batch overwrites
@@ -44,4 +45,7 @@ def incremental_sources(
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(out_dir)
+    try:
+        return spark.read.parquet(out_dir)
+    except AnalysisException:
+        return None

@@ -11,6 +11,7 @@ from blockloom.operators.packing import pack_blocks, with_scope
 from blockloom.operators.rows import with_row_index
 from blockloom.operators.vocab import build_vocab, encode
 from blockloom.plans import build_instruction_corpus, build_pretraining_corpus
+from blockloom.sources import readers
 from blockloom.streaming import incremental_sources
 
 
@@ -30,7 +31,9 @@ def small_splits(spark):
         spark.conf.set(n, v)
 
 
-def test_text_lines(spark, tmp_path, small_splits):
+@pytest.mark.parametrize("broadcast", (200_000, 0))
+def test_text_lines(spark, tmp_path, small_splits, monkeypatch, broadcast):
+    monkeypatch.setattr(readers, "BROADCAST_SPLITS", broadcast)
     lines = [f"　　line {i} " + "x" * (i % 40) for i in range(200)] + ["", "", "end"]
     (tmp_path / "a.txt").write_text("\n".join(lines) + "\n")
     (tmp_path / "b.txt").write_bytes(b"one\r\ntwo\r\n\r\nthree")
@@ -53,10 +56,20 @@ def test_text_paragraphs_and_documents(spark, tmp_path):
     path = str(tmp_path / "a.txt")
     assert rows(S.load_source(spark, [path, 1, {"sample_by": "paragraph"}])) == ["p1\nq", "p2", "p3\n"]
     assert rows(S.load_source(spark, [path, 1, {"sample_by": "document"}])) == ["p1\nq\n\n\n\np2\n\np3\n"]
+    (tmp_path / "w.txt").write_bytes(b"p1\r\nq\r\n\r\np2\r\n")
+    path = str(tmp_path / "w.txt")
+    assert rows(S.read_text(spark, path, sample_by="paragraph")) == ["p1\nq", "p2\n"]
+    assert rows(S.read_text(spark, path, sample_by="document")) == ["p1\nq\n\np2\n"]
     with pytest.raises(ValueError):
         S.read_text(spark, path, sample_by="word")
 
 
+def test_nothing_has_arrived(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    state, out = str(tmp_path / "state"), str(tmp_path / "out")
+    assert incremental_sources(spark, str(tmp_path / "in"), out, state, lambda batch: batch) is None
+
+
 def test_json(spark, tmp_path):
     records = [{"text": f"t{i}\n", "other": i} for i in range(5)]
     (tmp_path / "l.jsonl").write_text("\n".join(json.dumps(r) for r in records) + "\n")

@@ -38,6 +38,15 @@ def test_share_per_group_with_a_hot_group(spark, partitions):
     assert sorted(r["k"] for r in M.exact_sample(df, key=["k"], k=10**6, by=["g"]).collect()) == list(range(500))
 
 
+def test_very_many_groups_are_joined(spark, monkeypatch):
+    df = keyed(spark, 60).withColumn("source", F.concat(F.lit("s"), F.col("k") % 3))
+    few = sorted(tuple(r) for r in M.exact_sample(df, key=["k"], frac=0.4, by=["source"]).collect())
+    mixed = sorted(tuple(r) for r in M.mix(df, {"s0": 0.5, "s1": 2}, key=["k"], default=0.25).collect())
+    monkeypatch.setattr(M, "FEW_GROUPS", 0)
+    assert sorted(tuple(r) for r in M.exact_sample(df, key=["k"], frac=0.4, by=["source"]).collect()) == few
+    assert sorted(tuple(r) for r in M.mix(df, {"s0": 0.5, "s1": 2}, key=["k"], default=0.25).collect()) == mixed
+
+
 def test_a_null_group_is_a_group(spark):
     df = keyed(spark, 40).withColumn("g", F.when(F.col("k") % 2 == 0, "even"))
     got = [r["k"] for r in M.exact_sample(df, key=["k"], k=5, by=["g"]).collect()]
