@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -89,12 +90,12 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 class Words:
     """The words of some texts: ``doc`` has each word's text number, ``start`` and
-    ``end`` its place in the lower-cased bytes ``data``, ``hash`` its 64-bit hash."""
+    ``end`` its place in the bytes ``data`` (lower-cased if folded), ``hash`` its 64-bit hash."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: bool = True):
         n = len(data)
         self.n_docs = len(offsets) - 1
-        self.data = _lower[data]
+        self.data = _lower[data] if fold else data
         mask = inside[data]
         edge = np.zeros(n + 1, bool)
         edge[offsets] = True
@@ -109,10 +110,14 @@ class Words:
         self.doc = np.searchsorted(offsets, self.start, side="right") - 1
         self.count = np.bincount(self.doc, minlength=self.n_docs)
         self.first = np.concatenate(([0], np.cumsum(self.count)))
+
+    @cached_property
+    def hash(self) -> np.ndarray:
+        n = len(self.data)
         power, inverse = _powers(n + 1)
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE[self.data] * power[:n], out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * inverse[self.start])
+        return mix((total[self.end] - total[self.start]) * inverse[self.start])
 
     def grams(self, k: int) -> np.ndarray:
         """Hashes of every k words in a row, text ends ignored."""

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from blockloom.llm.common import table
 from blockloom.llm.decontaminate import contamination
+from blockloom.llm.quality import quality_verdicts
+from blockloom.llm.secret_scan import joined, secret_spans
+from blockloom.llm.sharding import document_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,3 +54,26 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN h USING (doc_id) LEFT JOIN
 
 QUERIES: dict[str, Query] = {"op1_decontaminate": op1_decontaminate}
 ORACLES: dict[str, str] = {"op1_decontaminate": SQL_OP1}
+
+
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_verdicts(table(spark, folder, "documents")).drop("tkey", "distance")
+
+
+QUERIES["op10_quality"] = op10_quality
+
+
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return document_shards(table(spark, folder, "documents"))
+
+
+QUERIES["op4_sharding"] = op4_sharding
+
+
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_spans(table(spark, folder, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+QUERIES["op7_secrets"] = op7_secrets
