@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blockloom.llm.bin_packing import pack_documents
 from blockloom.llm.common import table
 from blockloom.llm.decontaminate import contamination
+from blockloom.llm.html_extract import extract_text
+from blockloom.llm.pii import personal_spans
 from blockloom.llm.quality import quality_verdicts
 from blockloom.llm.secret_scan import joined, secret_spans
 from blockloom.llm.sharding import document_shards
+from blockloom.llm.token_files import token_file_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,10 +75,42 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES["op4_sharding"] = op4_sharding
 
 
+def _counts(*kinds: str) -> list[Column]:
+    """Base spans of each kind."""
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return list(map(of, kinds))
+
+
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_spans(table(spark, folder, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
-    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+    return found.select("doc_id", *_counts("assign", "access", "hex"), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
 QUERIES["op7_secrets"] = op7_secrets
+
+
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_spans(table(spark, folder, "documents"))
+    return found.select("doc_id", *_counts("email", "ip", "card", "phone"), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+QUERIES["op6_pii"] = op6_pii
+
+
+def op2_html(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages"))
+
+
+QUERIES["op2_html"] = op2_html
+
+
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_file_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), "byte_bpe", 0)
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), "word_bpe", 1)
+
+
+QUERIES["op5_token_files"] = op5_token_files
+QUERIES["op8_packing"] = op8_packing

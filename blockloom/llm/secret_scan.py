@@ -104,6 +104,7 @@ def _pairs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     within = np.cumsum(mark[:-1]) > 0
     state = _state[data]
     before = np.empty_like(state)
+    before[:1] = -1
     before[1:] = state[:-1]
     before[starts] = STATES - 1
     return np.bincount(before[within] * STATES + state[within], minlength=STATES * STATES)
@@ -160,6 +161,7 @@ def _scan(documents: DataFrame, ratio: np.ndarray) -> DataFrame:
                     base_of[a + d] = [{"kind": k, "start": s, "end": e} for k, s, e, _ in spans]
                 state = _state[data]
                 before = np.empty_like(state)
+                before[:1] = -1
                 before[1:] = state[:-1]
                 before[words.start] = STATES - 1
                 gains = _sums(np.where((state < 0) | (before < 0), 0, table[before, state]))
