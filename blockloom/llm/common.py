@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from functools import cached_property
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,35 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.col(text))
 
 
+# --- a bit table of fixed size, to let rows go before an exact join -----------
+
+#: 2**25 bits, 4 MB, at any input size.
+BITS = 25
+_SEGMENT = 16
+
+
+def bit_table(hashes: DataFrame, column: str) -> np.ndarray:
+    """A bit for each value of ``column``'s leading bits, put together from segments."""
+    top = F.shiftrightunsigned(column, 64 - BITS)
+    bits = hashes.select(F.shiftright(top, _SEGMENT).alias("segment"), top.bitwiseAND((1 << _SEGMENT) - 1).alias("bit")).distinct()
+
+    def fill(part: pd.DataFrame) -> pd.DataFrame:
+        marks = np.zeros(1 << _SEGMENT, bool)
+        marks[part["bit"].to_numpy()] = True
+        return pd.DataFrame({"segment": [part["segment"].iloc[0]], "marks": [np.packbits(marks).tobytes()]})
+
+    out = np.zeros((1 << (BITS - _SEGMENT), (1 << _SEGMENT) // 8), np.uint8)
+    for row in bits.groupBy("segment").applyInPandas(fill, "segment long, marks binary").toLocalIterator():
+        out[row.segment] = np.frombuffer(row.marks, np.uint8)
+    return out.reshape(-1)
+
+
+def has_bit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which unsigned hashes may be in the table: all that are, and few others."""
+    bit = hashes >> np.uint64(64 - BITS)
+    return (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (bit & np.uint64(7))).astype(np.uint8)) & 1 == 1
+
+
 # --- words and hashes of whole Arrow batches ---------------------------------
 
 _rng = np.random.default_rng(20240229)

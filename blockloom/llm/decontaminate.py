@@ -16,21 +16,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from blockloom.llm.common import _MIX, ALNUM, Words, keep, mix, release, same, sliced, text_key
+from blockloom.llm.common import _MIX, ALNUM, Words, bit_table, has_bit, keep, mix, release, same, sliced, text_key
 
 WINDOW = 13
 GRAM = 9
 #: Words kept on either side of a k-gram: no window around it reaches further.
 SIDE = WINDOW - GRAM
-#: 2**25 bits, 4 MB, at any input size.
-BITS = 25
-_SEGMENT = 16
 
 _SCAN = "doc_id long, tkey long, n_words long, fp long, at array<int>, before int, context string"
 _ITEMS = "item string, fp long, length int, before int, context string"
@@ -90,35 +86,15 @@ def item_fingerprints(benchmark: DataFrame) -> DataFrame:
     return items.mapInArrow(_scan_items, _ITEMS).distinct()
 
 
-def _bit_table(prints: DataFrame) -> np.ndarray:
-    """The fixed-size bit table of the hashes, put together from segments."""
-    top = F.shiftrightunsigned("fp", 64 - BITS)
-    bits = prints.select(F.shiftright(top, _SEGMENT).alias("segment"), top.bitwiseAND((1 << _SEGMENT) - 1).alias("bit")).distinct()
-
-    def fill(part: pd.DataFrame) -> pd.DataFrame:
-        marks = np.zeros(1 << _SEGMENT, bool)
-        marks[part["bit"].to_numpy()] = True
-        return pd.DataFrame({"segment": [part["segment"].iloc[0]], "marks": [np.packbits(marks).tobytes()]})
-
-    table = np.zeros((1 << (BITS - _SEGMENT), (1 << _SEGMENT) // 8), np.uint8)
-    for row in bits.groupBy("segment").applyInPandas(fill, "segment long, marks binary").toLocalIterator():
-        table[row.segment] = np.frombuffer(row.marks, np.uint8)
-    return table.reshape(-1)
-
-
 def _scan_documents(documents: DataFrame, prints: DataFrame) -> DataFrame:
     """For each document a row with its number of words and rows for the kept
     hashes that may be the benchmark's."""
-    shared = documents.sparkSession.sparkContext.broadcast(_bit_table(prints))
+    shared = documents.sparkSession.sparkContext.broadcast(bit_table(prints, "fp"))
     lengths = sorted(r.length for r in prints.select("length").where(F.col("length") < WINDOW).distinct().collect())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
 
-        def known(h: np.ndarray) -> np.ndarray:
-            bit = h >> np.uint64(64 - BITS)
-            return (table[(bit >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (bit & np.uint64(7))).astype(np.uint8)) & 1 == 1
-
         names = ["doc_id", "tkey", "n_words", "fp", "at", "before", "context"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.string()]
         for batch in batches:
@@ -128,7 +104,7 @@ def _scan_documents(documents: DataFrame, prints: DataFrame) -> DataFrame:
                 rows = [(ids[a + d], keys[a + d], n, None, None, None, None) for d, n in enumerate(words.count.tolist())]
                 at = _kept_grams(words)
                 prints_here = words.grams(GRAM)[at]
-                passed = known(prints_here)
+                passed = has_bit(table, prints_here)
                 for i, h in zip(at[passed].tolist(), prints_here[passed].astype(np.int64).tolist(), strict=True):
                     d = words.doc[i]
                     low, high = max(words.first[d], i - SIDE), min(words.first[d + 1], i + WINDOW)
@@ -140,7 +116,7 @@ def _scan_documents(documents: DataFrame, prints: DataFrame) -> DataFrame:
                     for j in range(k):
                         total += words.hash[j : j + n] * _MIX[16 + j]
                     hashes = mix(total + np.uint64(k))
-                    for i in np.flatnonzero(known(hashes) & words.inside(k)).tolist():
+                    for i in np.flatnonzero(has_bit(table, hashes) & words.inside(k)).tolist():
                         places.setdefault((int(words.doc[i]), int(hashes[i])), []).append(i)
                     for (d, h), found in places.items():
                         rows.append((ids[a + d], keys[a + d], None, h - (1 << 64) * (h >> 63), [i - words.first[d] for i in found], 0, words.text(found[0], found[0] + k)))

@@ -12,6 +12,7 @@ from blockloom.llm.bin_packing import pack_documents
 from blockloom.llm.common import table
 from blockloom.llm.decontaminate import contamination
 from blockloom.llm.html_extract import extract_text
+from blockloom.llm.ngram_join import similar_documents
 from blockloom.llm.pii import personal_spans
 from blockloom.llm.quality import quality_verdicts
 from blockloom.llm.secret_scan import joined, secret_spans
@@ -114,3 +115,24 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES["op5_token_files"] = op5_token_files
 QUERIES["op8_packing"] = op8_packing
+
+
+def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_documents(table(spark, folder, "documents")).drop("tkey")
+
+
+SQL_OP3 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(min(r.c), d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY d.doc_id, n.n"""
+
+QUERIES["op3_ngram_join"] = op3_ngram_join
+ORACLES["op3_ngram_join"] = SQL_OP3
