@@ -39,7 +39,7 @@ from blockloom.session import scratch_path
 #: Tokens after which a block ends, at the next end of a document.
 BLOCK_TOKENS = 1 << 18
 #: Rounds of replacement, pairs replaced in one, and the least number of places of a pair.
-ROUNDS, PAIRS, LEAST = 12, 2048, 4
+ROUNDS, PAIRS, LEAST = 6, 8192, 4
 TEXTS = 256
 
 _FIELDS = [
