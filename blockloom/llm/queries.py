@@ -12,6 +12,7 @@ from blockloom.llm.bin_packing import pack_documents
 from blockloom.llm.common import table
 from blockloom.llm.decontaminate import contamination
 from blockloom.llm.html_extract import extract_text
+from blockloom.llm.line_dedup import without_repeats
 from blockloom.llm.ngram_join import similar_documents
 from blockloom.llm.pii import personal_spans
 from blockloom.llm.quality import quality_verdicts
@@ -136,3 +137,10 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY
 
 QUERIES["op3_ngram_join"] = op3_ngram_join
 ORACLES["op3_ngram_join"] = SQL_OP3
+
+
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+QUERIES["op9_line_dedup"] = op9_line_dedup
