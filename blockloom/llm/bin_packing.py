@@ -27,6 +27,8 @@ from blockloom.llm.token_ids import encoder
 CAPACITY = 4096
 #: Pieces of a group on average, open sequences that a group hands on, groups that meet.
 GROUP_PIECES, HANDED_ON, MEET = 16_000, 16, 32
+#: Steps of one group's search; sizes that fill no sequence well could go on for long.
+ATTEMPTS = 5_000
 TEXTS = 256
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -88,7 +90,7 @@ def improve(sizes: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
     fill = np.bincount(bins, weights=sizes).astype(np.int64)
     least = -(-int(sizes.sum()) // capacity)
     stuck = np.zeros(len(fill), bool)
-    while True:
+    for _ in range(ATTEMPTS):
         used = np.flatnonzero(fill > 0)
         if len(used) <= least:
             return bins  # no packing has fewer
@@ -96,8 +98,11 @@ def improve(sizes: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
         if len(able) < 2:
             return bins
         poor = int(able[np.argmin(fill[able])])
-        if not _give(sizes, bins, fill, poor, capacity):
+        if _give(sizes, bins, fill, poor, capacity):
+            stuck[:] = False  # others may find a partner now
+        else:
             stuck[poor] = True
+    return bins
 
 
 def _give(sizes: np.ndarray, bins: np.ndarray, fill: np.ndarray, poor: int, capacity: int) -> bool:

@@ -42,6 +42,15 @@ def release(*frames: DataFrame) -> None:
             place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)  # noqa: SLF001
 
 
+#: Stored tables of up to so many numbers (8 bytes each) are sent to every executor.
+SENT_NUMBERS = 1_000_000
+
+
+def sent(df: DataFrame, numbers: int) -> DataFrame:
+    """``df`` broadcast if the numbers it holds, as counted, allow it; else as it is."""
+    return F.broadcast(df) if numbers <= SENT_NUMBERS else df
+
+
 def same(left: Column, right: Column) -> Column:
     """Equality that also holds between nulls."""
     return left.eqNullSafe(right)

@@ -18,8 +18,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blockloom.llm.common import SENT_NUMBERS, keep, sent
+
 #: A subtree is template on this share of a host's pages, and on so many at least.
 SHARE, MIN_PAGES = 0.2, 5
+#: Parts that a host's pages are dealt into where they move.
+SALTS = 64
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -309,9 +313,15 @@ def extract_text(pages: DataFrame) -> DataFrame:
     ''. Repeated rows count as pages of their own and each get their row. Hosts
     with fewer than ``MIN_PAGES`` pages have no template. Other columns are ignored.
     """
-    recurring = templates(pages).withColumnRenamed("host", "of_host")
+    recurring = keep(templates(pages).withColumnRenamed("host", "of_host"), "templates")
+    numbers = recurring.agg(F.sum(F.size("template") + 1)).first()[0] or 0
     sited = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host().alias("host"))
-    joined = sited.join(recurring, F.col("host") == F.col("of_host"), "left").select("page_id", "url", "html", "template")
+    on = F.col("host") == F.col("of_host")
+    if numbers > SENT_NUMBERS:  # pages move: spread those of one host
+        recurring = recurring.withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        sited = sited.withColumn("salt", F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(SALTS)).cast("int"))
+        on = on & (F.col("salt") == F.col("of_salt"))
+    joined = sited.join(sent(recurring, numbers), on, "left").select("page_id", "url", "html", "template")
     kinds = dict(joined.dtypes)
     out = joined.mapInArrow(_extract, f"page_id {kinds['page_id']}, url string, text string")
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

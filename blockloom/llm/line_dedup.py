@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import keep, release, same, text_key
+from blockloom.llm.common import keep, release, same, sent, text_key
 from blockloom.llm.components import components, first_pairs, remaining_pairs
 from blockloom.llm.quality import let
 
@@ -26,8 +26,6 @@ BANDS, ROWS = 10, 3
 SIMILAR = 80
 #: Shorter lines stay as they are: headings and single words recur in clean texts.
 MIN_CHARS = 20
-#: Tables of up to so many rows of numbers (16 MB) are sent to every executor; larger ones are joined by shuffling.
-SENT_ROWS = 1_000_000
 
 
 def _lines(documents: DataFrame) -> DataFrame:
@@ -60,11 +58,6 @@ def _bands(shingles: Column) -> Column:
     return F.when(F.size(shingles) > 0, let(shingles, keys)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _sent(df: DataFrame) -> DataFrame:
-    """A stored table of small rows, broadcast if its count allows it."""
-    return F.broadcast(df) if df.count() <= SENT_ROWS else df
-
-
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left, right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -82,7 +75,7 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     entries_shared = keep(entries.join(shared, "key"), "bands")
     release(entries)
     asked = keep(entries_shared.select(F.col("node").alias("asked")).distinct(), "asked")
-    compared = _lines(documents).join(_sent(asked), F.col("node") == F.col("asked"), "left_semi").select("node", _shingles("line").alias("shingles"))
+    compared = _lines(documents).join(sent(asked, asked.count()), F.col("node") == F.col("asked"), "left_semi").select("node", _shingles("line").alias("shingles"))
     sets = keep(compared.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
     sized = keep(entries_shared.join(sets.select("node", F.size("shingles").alias("n")), "node"), "entries")
     near_size = 100 * F.least("n", "p_n") >= SIMILAR * F.greatest("n", "p_n")
@@ -109,6 +102,7 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     """
     gone = repeated_lines(documents).groupBy("doc_id", "tkey").agg(F.sort_array(F.collect_set("at")).alias("gone"))
     gone = keep(gone.withColumnsRenamed({"doc_id": "gone_id", "tkey": "gone_key"}), "gone")
+    removed = gone.agg(F.sum(F.size("gone") + 2)).first()[0]
     on = same(F.col("d.doc_id"), F.col("gone_id")) & (F.xxhash64(F.col("d.text")) == F.col("gone_key"))
     own = [F.col(f"d.`{c}`") for c in documents.columns if c not in ("text", "n_lines", "n_removed")]
     lines = F.split("d.text", "\n", -1)
@@ -117,7 +111,7 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     rest = let(
         F.struct(lines.alias("x"), F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone").alias("stay")), lambda v: F.array_join(F.transform(v["stay"], lambda i: F.get(v["x"], i)), "\n")
     )
-    joined = documents.alias("d").join(_sent(gone), on, "left")
+    joined = documents.alias("d").join(sent(gone, removed or 0), on, "left")
     return joined.select(
         *own,
         F.when(F.col("gone").isNull(), F.col("d.text")).otherwise(rest).alias("text"),
