@@ -1,12 +1,13 @@
 """Fuzzy line deduplication by MinHash.
 
 A line's set holds its character shingles: ``SHINGLE`` characters from the
-beginning of every word on (long words are cut). One hash orders the set. From
-each of ``BANDS`` evenly spread points of the hash range the ``ROWS`` next
-hashes, the range taken as a circle, make a band: both sets have the same next
-hash with the probability of their Jaccard similarity. Lines that share a band
-are compared on their whole sets; linked lines are joined by distributed
-union-find, and of each component the first line stays.
+beginning of every word on (long words are cut). One hash orders the set, and
+its range is cut into ``BANDS`` stretches: from each stretch's first hash the
+``ROWS`` next ones, the range taken as a circle, make a band. Each of them is
+the same in two sets with the probability of their Jaccard similarity. Lines
+that share a band are compared: first by parity signatures, whose differing bits
+are a lower bound of the sets' difference, then on the whole sets. Linked lines
+are joined by distributed union-find, and of each component the first line stays.
 
 Only DataFrame functions are used; no row leaves the JVM.
 """
@@ -21,8 +22,9 @@ from blockloom.llm.components import components, first_pairs, remaining_pairs
 from blockloom.llm.quality import let
 
 SHINGLE = 10
-#: Similarity 0.8 is found with probability 1 - (1 - 0.8**3)**10 > 0.999.
-BANDS, ROWS = 10, 3
+#: Stretches are told by the hash's three leading bits. Similarity 0.8 is found
+#: with probability 1 - (1 - 0.8**3)**8 > 0.996, 0.9 with more than 0.9999.
+BANDS, ROWS = 8, 3
 SIMILAR = 80
 #: Shorter lines stay as they are: headings and single words recur in clean texts.
 MIN_CHARS = 20
@@ -36,26 +38,38 @@ def _lines(documents: DataFrame) -> DataFrame:
 
 def _shingles(line: str) -> Column:
     """The distinct hashes of a line's shingles, ascending."""
-    pieces = F.regexp_extract_all(line, F.lit(rf"(?=(.{{1,{SHINGLE}}}))[^\s\p{{P}}]{{1,{SHINGLE}}}"), F.lit(1))
+    pieces = F.regexp_extract_all(line, F.lit(rf"(?=(.{{1,{SHINGLE}}}))\S{{1,{SHINGLE}}}"), F.lit(1))
     return F.sort_array(F.array_distinct(F.transform(pieces, lambda s: F.xxhash64(s))))
 
 
 def _bands(shingles: Column) -> Column:
-    """Band keys of a sorted set; none of an empty one."""
-    width = (1 << 64) // BANDS
+    """Band keys of a sorted set, one of each stretch that has a hash."""
 
-    def keys(s: Column) -> Column:
-        number = F.transform(s, lambda h: F.floor((h.cast("double") + float(1 << 63)) / width).cast("int"))
-        firsts = lambda numbers: F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.array_position(numbers, b))
+    def key(s: Column, at: Column, band: int) -> Column:
+        return F.when(at > 0, F.xxhash64(F.lit(band), *(F.get(s, ((at - 1 + r) % F.size(s)).cast("int")) for r in range(ROWS))))
 
-        def key(places: Column, b: Column) -> Column:
-            # of an empty stretch the next one's first; past the last one the circle begins anew
-            start = F.coalesce(F.array_min(F.filter(F.slice(places, b + 1, F.lit(BANDS)), lambda x: x > 0)), F.lit(1)).cast("int")
-            return let(start, lambda x: F.xxhash64(b, *(F.get(s, (x - 1 + r) % F.size(s)) for r in range(ROWS))))
+    def keys(s: Column, stretches: Column) -> Column:
+        return F.array_compact(F.array(*(key(s, F.array_position(stretches, b - BANDS // 2), b) for b in range(BANDS))))
 
-        return let(number, lambda numbers: let(firsts(numbers), lambda places: F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: key(places, b))))
+    stretches = lambda s: F.transform(s, lambda h: F.shiftright(h, 61))
+    return let(shingles, lambda s: let(stretches(s), lambda x: keys(s, x)))
 
-    return F.when(F.size(shingles) > 0, let(shingles, keys)).otherwise(F.array().cast("array<bigint>"))
+
+def _parities(shingles: str) -> Column:
+    """Four words of 64 bits: each hash turns over one bit."""
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 2).bitwiseAND(63).cast("int"))
+    word = lambda w: F.aggregate(
+        F.filter(shingles, lambda h: h.bitwiseAND(3) == w), F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(h))
+    )
+    return F.struct(*(word(w).alias(f"w{w}") for w in range(4)))
+
+
+def _may_link() -> Column:
+    """Whether sizes and parities of an entry and another (``p_``) allow a link."""
+    n, m = F.col("n"), F.col("p_n")
+    differ = sum(F.bit_count(F.col(f"parity.w{w}").bitwiseXOR(F.col(f"p_parity.w{w}"))) for w in range(4))
+    # similarity s means a difference of at most (1 - s) / (1 + s) of both sizes
+    return (100 * F.least(n, m) >= SIMILAR * F.greatest(n, m)) & ((100 + SIMILAR) * differ <= (100 - SIMILAR) * (n + m))
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -69,23 +83,22 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     of its component, in the order of document ids (nulls last), text hashes and
     line numbers. Of a repeated row, one row's lines are the first."""
     lines = keep(_lines(documents).withColumn("bands", _bands(_shingles("line"))).drop("line"), "lines")
-    distinct = lines.groupBy("node").agg(F.first("bands").alias("bands"), F.count("*").alias("n"))
-    entries = keep(distinct.select("node", F.explode("bands").alias("key")), "bands")
-    shared = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    entries_shared = keep(entries.join(shared, "key"), "bands")
-    release(entries)
-    asked = keep(entries_shared.select(F.col("node").alias("asked")).distinct(), "asked")
+    each = lines.select("node", F.explode("bands").alias("key"))
+    shared = keep(each.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key"), "shared")
+    entries = keep(each.join(sent(shared, shared.count()), "key").distinct(), "bands")
+    asked = keep(entries.select(F.col("node").alias("asked")).distinct(), "asked")
     compared = _lines(documents).join(sent(asked, asked.count()), F.col("node") == F.col("asked"), "left_semi").select("node", _shingles("line").alias("shingles"))
-    sets = keep(compared.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
-    sized = keep(entries_shared.join(sets.select("node", F.size("shingles").alias("n")), "node"), "entries")
-    near_size = 100 * F.least("n", "p_n") >= SIMILAR * F.greatest("n", "p_n")
-    near = keep(_links(first_pairs(sized, ["n"], near_size), sets), "links")
+    sets = keep(compared.groupBy("node").agg(F.first("shingles").alias("shingles"), F.count("*").alias("copies")), "sets")
+    described = sets.select("node", F.size("shingles").alias("n"), (-F.col("copies")).alias("rank"), _parities("shingles").alias("parity"))
+    sized = keep(entries.join(described, "node"), "entries")
+    release(shared, entries, asked)
+    near = keep(_links(first_pairs(sized, ["rank"], _may_link()), sets), "links")
     found = components(near)
-    far = keep(_links(remaining_pairs(sized, found, near_size), sets), "links")
+    far = keep(_links(remaining_pairs(sized, found, _may_link()), sets), "links")
     if not far.isEmpty():
         release(found)
         found = components(near.unionByName(far))
-    release(entries_shared, asked, sets, sized, near, far)
+    release(sets, sized, near, far)
     named = lines.select("doc_id", "tkey", "at", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey", "at")
     first = named.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
