@@ -61,6 +61,13 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.col(text))
 
 
+def rows_by_key(documents: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """The documents' rows, all columns as they are, that are (``left_semi``) or
+    are not (``left_anti``) among the ``keys`` (doc_id, tkey)."""
+    on = same(F.col("_rows.doc_id"), F.col("_keys.doc_id")) & (F.xxhash64(F.col("_rows.text")) == F.col("_keys.tkey"))
+    return documents.alias("_rows").join(keys.select("doc_id", "tkey").distinct().alias("_keys"), on, how)
+
+
 # --- a bit table of fixed size, to let rows go before an exact join -----------
 
 #: 2**25 bits, 4 MB, at any input size.

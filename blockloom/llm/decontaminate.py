@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from blockloom.llm.common import _MIX, ALNUM, Words, bit_table, has_bit, keep, mix, release, same, sliced, text_key
+from blockloom.llm.common import _MIX, ALNUM, Words, bit_table, has_bit, keep, mix, release, rows_by_key, same, sliced, text_key
 
 WINDOW = 13
 GRAM = 9
@@ -197,9 +197,4 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, all columns and rows as they are, without contaminated ones."""
-    bad = contamination(documents, benchmark).where("contaminated").select(
-        F.col("doc_id").alias("bad_id"), F.col("tkey").alias("bad_key")
-    ).distinct()
-    marked = documents.alias("d")
-    on = same(F.col("d.doc_id"), F.col("bad_id")) & (F.xxhash64(F.col("d.text")) == F.col("bad_key"))
-    return marked.join(bad, on, "left_anti")
+    return rows_by_key(documents, contamination(documents, benchmark).where("contaminated"), "left_anti")

@@ -114,22 +114,22 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     their first lines stay in each.
     """
     gone = repeated_lines(documents).groupBy("doc_id", "tkey").agg(F.sort_array(F.collect_set("at")).alias("gone"))
-    gone = keep(gone.withColumnsRenamed({"doc_id": "gone_id", "tkey": "gone_key"}), "gone")
+    gone = keep(gone, "gone")
     removed = gone.agg(F.sum(F.size("gone") + 2)).first()[0]
-    on = same(F.col("d.doc_id"), F.col("gone_id")) & (F.xxhash64(F.col("d.text")) == F.col("gone_key"))
+    on = same(F.col("d.doc_id"), F.col("z.doc_id")) & (F.xxhash64(F.col("d.text")) == F.col("z.tkey"))
     own = [F.col(f"d.`{c}`") for c in documents.columns if c not in ("text", "n_lines", "n_removed")]
     lines = F.split("d.text", "\n", -1)
     n_lines = F.when(F.length("d.text") > 0, F.size(lines)).otherwise(0)
     # both lists ascend, so a line number counts as gone by its place in a set difference
     rest = let(
-        F.struct(lines.alias("x"), F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone").alias("stay")), lambda v: F.array_join(F.transform(v["stay"], lambda i: F.get(v["x"], i)), "\n")
+        F.struct(lines.alias("x"), F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "z.gone").alias("stay")), lambda v: F.array_join(F.transform(v["stay"], lambda i: F.get(v["x"], i)), "\n")
     )
-    joined = documents.alias("d").join(sent(gone, removed or 0), on, "left")
+    joined = documents.alias("d").join(sent(gone, removed or 0).alias("z"), on, "left")
     return joined.select(
         *own,
-        F.when(F.col("gone").isNull(), F.col("d.text")).otherwise(rest).alias("text"),
+        F.when(F.col("z.gone").isNull(), F.col("d.text")).otherwise(rest).alias("text"),
         F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.size("z.gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.common import SPACED, Words, bit_table, has_bit, keep, mix, release, same, sliced, text_key
+from blockloom.llm.common import SPACED, Words, bit_table, has_bit, keep, mix, release, rows_by_key, same, sliced, text_key
 from blockloom.llm.components import components, first_pairs, remaining_pairs
 
 GRAM = 4
@@ -209,13 +209,11 @@ def one_of_each(documents: DataFrame, gram: int = GRAM, similar: int = SIMILAR)
     extra = (
         members.alias("m").join(best.where("n > 1").alias("b"), same(F.col("m.component_id"), F.col("b.component_id")))
         .where(~(same(F.col("m.doc_id"), F.col("best.doc_id")) & (F.col("m.tkey") == F.col("best.tkey"))) & F.col("m.component_id").isNotNull())
-        .select(F.col("m.doc_id").alias("x_id"), F.col("m.tkey").alias("x_key")).distinct()
+        .select(F.col("m.doc_id").alias("doc_id"), F.col("m.tkey").alias("tkey"))
     )
-    on = same(F.col("d.doc_id"), F.col("x_id")) & (F.xxhash64(F.col("d.text")) == F.col("x_key"))
-    kept = documents.alias("d").join(extra, on, "left_anti")
-    again = members.groupBy("doc_id", "tkey").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("y_id"), F.col("tkey").alias("y_key"))
+    kept = rows_by_key(documents, extra, "left_anti")
+    again = members.groupBy("doc_id", "tkey").agg(F.count("*").alias("n")).where("n > 1")
     if again.isEmpty():
         return kept
-    twice = same(F.col("d.doc_id"), F.col("y_id")) & (F.xxhash64(F.col("d.text")) == F.col("y_key"))
-    once = documents.alias("d").join(extra, on, "left_anti")
-    return once.alias("d").join(again, twice, "left_anti").unionByName(once.alias("d").join(again, twice, "left_semi").dropDuplicates(["doc_id", "text"]))
+    once = rows_by_key(kept, again, "left_semi").dropDuplicates(["doc_id", "text"])
+    return rows_by_key(kept, again, "left_anti").unionByName(once)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from blockloom.llm.common import keep, release, same, text_key
+from blockloom.llm.common import keep, release, rows_by_key, same, text_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
@@ -229,6 +229,4 @@ def quality_verdicts(documents: DataFrame) -> DataFrame:
 
 def keep_good(documents: DataFrame) -> DataFrame:
     """The documents, rows and columns as they are, without rejected ones."""
-    bad = quality_verdicts(documents).where(~F.col("kept")).select(F.col("doc_id").alias("bad_id"), F.col("tkey").alias("bad_key")).distinct()
-    on = same(F.col("d.doc_id"), F.col("bad_id")) & (F.xxhash64(F.col("d.text")) == F.col("bad_key"))
-    return documents.alias("d").join(bad, on, "left_anti")
+    return rows_by_key(documents, quality_verdicts(documents).where(~F.col("kept")), "left_anti")

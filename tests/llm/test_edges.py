@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +16,6 @@ from blockloom.llm.quality import keep_good, quality_verdicts
 from blockloom.llm.secret_scan import secret_spans
 from blockloom.llm.sharding import document_shards, shuffle_into_shards
 from blockloom.llm.token_files import token_file_digests
-import public_tokenizers
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"word{i % 5000}x{i}" for i in range(60_000))
@@ -28,7 +28,7 @@ ROWS = [
     (3, None, "en", "a", 0),
     (4, "", "en", None, 0),
     (5, LONG, "de", "b", 1),
-    (6, "日本語の文章です。 mail me at a@b.co +1 (555) 555-1234 10.0.0.1 4111111111111111", "ja", "c", 1),
+    (6, "日本語の文章です。 mail me at a@b.co, +1 (555) 555-1234, 10.0.0.1, 4111111111111111", "ja", "c", 1),
     (6, "other text under the same id: token = 0123456789abcdef0123456789abcdef", "ja", "c", 1),
     (7, "\n\n \n", "en", "a", 3),
     (8, "word", "en", "a", 4),
@@ -63,16 +63,12 @@ PER_ROW = {
 
 
 @pytest.mark.parametrize("name", PER_ROW)
-def test_a_row_for_every_row(docs, bench, name):
+def test_a_row_for_every_row_and_none_of_no_rows(docs, bench, name):
+    assert PER_ROW[name](docs.limit(0), bench.limit(0)).collect() == []
     rows = PER_ROW[name](docs, bench).collect()
     assert sorted(str(r.doc_id) for r in rows) == sorted(str(r[0]) for r in ROWS)
 
 
-@pytest.mark.parametrize("name", PER_ROW)
-def test_empty_tables(docs, bench, name):
-    assert PER_ROW[name](docs.limit(0), bench.limit(0)).collect() == []
-
-
 def test_empty_tables_of_the_rest(spark, docs, bench):
     none = docs.limit(0)
     assert pack_documents(none, WORD, "word_bpe", 1).collect() == []
@@ -104,7 +100,8 @@ def test_similar_by_hand(docs):
 
 
 def test_lines_by_hand(spark, docs):
-    a, b = "first line that is long enough to count here", "second line that is long enough to count too"
+    a = "first line that is long enough to count here and then goes on for quite a few more words than the other ones do"
+    b = "second line that is long enough to count too"
     near = a + " x"
     rows = [(1, f"{a}\nshort\n{b}"), (2, f"{b}\nshort\n{near}"), (3, f"{a}"), (4, None), (5, "")]
     got = {r.doc_id: r for r in without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -135,7 +132,7 @@ def test_shards_of_any_rows(docs):
 
 def test_spans_by_hand(docs):
     spans = {tuple(s.kind for s in r.base) for r in personal_spans(docs).collect() if r.doc_id == 6}
-    assert spans == {("email", "ip", "card", "phone"), ()} or spans == {("email", "ip", "card", "phone"), ("card",)}
+    assert spans == {("email", "ip", "card", "phone"), ()}
     secrets = {tuple(s.kind for s in r.base) for r in secret_spans(docs).collect() if r.doc_id == 6}
     assert secrets == {(), ("assign", "hex")}
 
