@@ -1,7 +1,7 @@
 """Fuzzy line deduplication by MinHash.
 
-A line's set holds its character shingles: ``SHINGLE`` characters from the
-beginning of every word on (long words are cut). One hash orders the set, and
+A line's set holds its character shingles: every word with the first ``SHINGLE``
+characters after it. One hash orders the set, and
 its range is cut into ``BANDS`` stretches: from each stretch's first hash the
 ``ROWS`` next ones, the range taken as a circle, make a band. Each of them is
 the same in two sets with the probability of their Jaccard similarity. Lines
@@ -21,7 +21,7 @@ from blockloom.llm.common import keep, release, same, sent, text_key
 from blockloom.llm.components import components, first_pairs, remaining_pairs
 from blockloom.llm.quality import let
 
-SHINGLE = 10
+SHINGLE = 4
 #: Stretches are told by the hash's three leading bits. Similarity 0.8 is found
 #: with probability 1 - (1 - 0.8**3)**8 > 0.996, 0.9 with more than 0.9999.
 BANDS, ROWS = 8, 3
@@ -38,21 +38,29 @@ def _lines(documents: DataFrame) -> DataFrame:
 
 def _shingles(line: str) -> Column:
     """The distinct hashes of a line's shingles, ascending."""
-    pieces = F.regexp_extract_all(line, F.lit(rf"(?=(.{{1,{SHINGLE}}}))\S{{1,{SHINGLE}}}"), F.lit(1))
-    return F.sort_array(F.array_distinct(F.transform(pieces, lambda s: F.xxhash64(s))))
+    wide = F.octet_length(line) >= 2 * F.length(line)  # scripts without blanks: every character is a word
+    spaced = F.when(wide, F.regexp_replace(line, r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}])", "$1 ")).otherwise(F.col(line))
 
+    def each(words: Column) -> Column:
+        following = F.slice(words, F.lit(2), F.size(words))
+        return F.zip_with(words, following, lambda word, after: F.xxhash64(word, F.left(after, F.lit(SHINGLE))))
 
-def _bands(shingles: Column) -> Column:
-    """Band keys of a sorted set, one of each stretch that has a hash."""
+    return F.sort_array(F.array_distinct(let(F.split(spaced, " ", -1), each)))
 
-    def key(s: Column, at: Column, band: int) -> Column:
-        return F.when(at > 0, F.xxhash64(F.lit(band), *(F.get(s, ((at - 1 + r) % F.size(s)).cast("int")) for r in range(ROWS))))
 
-    def keys(s: Column, stretches: Column) -> Column:
-        return F.array_compact(F.array(*(key(s, F.array_position(stretches, b - BANDS // 2), b) for b in range(BANDS))))
+def _with_bands(lines: DataFrame) -> DataFrame:
+    """``bands``: the keys of the sorted set ``shingles``, one of each stretch that
+    has a hash. Steps are columns of their own, so that they are compiled."""
+    own = [c for c in lines.columns if c != "shingles"]
+    out = lines.withColumn("stretches", F.transform("shingles", lambda h: F.shiftright(h, 61)))
+    for b in range(BANDS):
+        out = out.withColumn(f"at{b}", F.array_position("stretches", b - BANDS // 2).cast("int"))
 
-    stretches = lambda s: F.transform(s, lambda h: F.shiftright(h, 61))
-    return let(shingles, lambda s: let(stretches(s), lambda x: keys(s, x)))
+    def key(b: int) -> Column:
+        at = F.col(f"at{b}")
+        return F.when(at > 0, F.xxhash64(F.lit(b), *(F.get("shingles", (at - 1 + r) % F.size("shingles")) for r in range(ROWS))))
+
+    return out.select(*own, F.array_compact(F.array(*map(key, range(BANDS)))).alias("bands"))
 
 
 def _parities(shingles: str) -> Column:
@@ -82,7 +90,7 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     """``doc_id``, ``tkey`` and ``at`` of each line that goes: all but the first
     of its component, in the order of document ids (nulls last), text hashes and
     line numbers. Of a repeated row, one row's lines are the first."""
-    lines = keep(_lines(documents).withColumn("bands", _bands(_shingles("line"))).drop("line"), "lines")
+    lines = keep(_with_bands(_lines(documents).withColumn("shingles", _shingles("line")).drop("line")), "lines")
     each = lines.select("node", F.explode("bands").alias("key"))
     shared = keep(each.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key"), "shared")
     entries = keep(each.join(sent(shared, shared.count()), "key").distinct(), "bands")

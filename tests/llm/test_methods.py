@@ -182,8 +182,8 @@ def test_minhash_bands_find_similar_lines(spark):
         near = list(line)
         near[rng.randrange(40)] = "changed"
         rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(near))]
-    df = spark.createDataFrame(rows, "i int, line string").withColumn("s", line_dedup._shingles("line")).withColumn("b", line_dedup._bands(F.col("s")))
-    got = {r.i: (set(r.s), set(r.b)) for r in df.collect()}
+    df = spark.createDataFrame(rows, "i int, line string").withColumn("shingles", line_dedup._shingles("line")).withColumn("s", F.col("shingles"))
+    got = {r.i: (set(r.s), set(r.bands)) for r in line_dedup._with_bands(df).collect()}
     similar = [i for i in range(300) if len(got[2 * i][0] & got[2 * i + 1][0]) >= 0.8 * len(got[2 * i][0] | got[2 * i + 1][0])]
     assert len(similar) > 250 and sum(bool(got[2 * i][1] & got[2 * i + 1][1]) for i in similar) >= 0.98 * len(similar)
     assert not any(got[2 * i][1] & got[2 * i + 2][1] for i in range(299))
