@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockloom import sources as S
@@ -12,19 +12,39 @@ from blockloom.queries.registry import SQL_INSTRUCTIONS, SQL_LINES, instructions
 from blockloom.session import scratch_path
 
 
-@query("scan_lines", f"WITH {SQL_LINES} SELECT source, doc_id, line_no, text, row_idx FROM lines")
+def _line_files(spark: SparkSession, d: str) -> str:
+    """The documents' lines as text files, one a source."""
+    path = scratch_path(spark, "lines")
+    rows = lines(spark, d).select("source", "doc_id", "line_no", F.col("text").alias("value"))
+    rows.repartition("source").sortWithinPartitions("source", "doc_id", "line_no").select("source", "value").write.partitionBy("source").text(path)
+    return path
+
+
+def _of_file(name: str) -> Column:
+    """What a file's folder is named after."""
+    return F.regexp_extract("file", "/[a-z]+=([^/]*)/", 1).alias(name)
+
+
+@query("scan_lines", f"WITH {SQL_LINES} SELECT source, text, row_idx, n_rows FROM lines")
 def scan_lines(spark: SparkSession, d: str) -> DataFrame:
-    return lines(spark, d).select("source", "doc_id", "line_no", "text", "row_idx")
+    return S.read_text(spark, _line_files(spark, d)).select(_of_file("source"), "text", "row_idx", "n_rows")
+
+
+@query("scan_lines_keep", f"WITH {SQL_LINES} SELECT source, text || chr(10) AS text, row_idx, n_rows FROM lines")
+def scan_lines_keep(spark: SparkSession, d: str) -> DataFrame:
+    kept = S.read_text(spark, _line_files(spark, d), keep_linebreaks=True)
+    return kept.select(_of_file("source"), "text", "row_idx", "n_rows")
 
 
 @query(
-    "scan_lines_keep",
+    "table_lines_keep",
     f"""WITH {SQL_LINES}, last AS (SELECT doc_id, max(line_no) AS m FROM lines GROUP BY doc_id)
     SELECT l.source, l.doc_id, line_no, row_idx,
       md5(l.text || CASE WHEN line_no < m OR right(d.text, 1) = chr(10) THEN chr(10) ELSE '' END) AS text_md5
     FROM lines l JOIN last USING (doc_id) JOIN documents d ON d.doc_id = l.doc_id""",
 )
-def scan_lines_keep(spark: SparkSession, d: str) -> DataFrame:
+def table_lines_keep(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of a table's texts, newlines kept."""
     docs = table(spark, d, "documents").select("source", "doc_id", "text")
     kept = explode_pieces(docs, key=["doc_id"], keep_linebreaks=True)
     return kept.select("source", "doc_id", F.col("piece_no").alias("line_no"), "row_idx", F.md5("text").alias("text_md5"))
@@ -32,16 +52,21 @@ def scan_lines_keep(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "scan_paragraphs",
-    """WITH chats AS (SELECT conv_id, turn, text FROM conversations),
-    pieces AS (SELECT conv_id, unnest(string_split(text || chr(10) || chr(10), chr(10) || chr(10))) AS text FROM chats)
-    SELECT md5(text) AS text_md5, count(*) AS n FROM pieces WHERE text <> '' GROUP BY 1""",
+    """WITH pieces AS (
+      SELECT role, conv_id, turn, unnest(p) AS text, generate_subscripts(p, 1) AS i
+      FROM (SELECT *, string_split(text || chr(10) || chr(10), chr(10) || chr(10)) AS p FROM conversations)),
+    numbered AS (
+      SELECT role, text, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn, i) - 1 AS row_idx,
+        count(*) OVER (PARTITION BY role) AS n_rows
+      FROM pieces WHERE text <> '')
+    SELECT * FROM numbered""",
 )
 def scan_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    """Each message as a paragraph of a text file, read back by paragraph."""
-    path = scratch_path(spark, "paragraphs") + ".txt"
-    table(spark, d, "conversations").select(F.concat("text", F.lit("\n")).alias("value")).write.text(path)
-    pieces = S.load_source(spark, [path, 1, {"sample_by": "paragraph"}])
-    return pieces.groupBy(F.md5("text").alias("text_md5")).agg(F.count("*").alias("n"))
+    """Each message as a paragraph of its role's text file, read back by paragraph."""
+    path = scratch_path(spark, "paragraphs")
+    chats = table(spark, d, "conversations").repartition("role").sortWithinPartitions("role", "conv_id", "turn")
+    chats.select("role", F.concat("text", F.lit("\n")).alias("value")).write.partitionBy("role").text(path)
+    return S.read_text(spark, path, sample_by="paragraph").select(_of_file("role"), "text", "row_idx", "n_rows")
 
 
 @query(
@@ -61,18 +86,30 @@ def scan_documents(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("scan_json_text", "SELECT text FROM documents")
+@query(
+    "scan_json_text",
+    """SELECT source, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS row_idx,
+       count(*) OVER (PARTITION BY source) AS n_rows FROM documents""",
+)
 def scan_json_text(spark: SparkSession, d: str) -> DataFrame:
-    path = scratch_path(spark, "text") + ".jsonl"
-    table(spark, d, "documents").select("doc_id", "text", "lang").write.json(path)
-    return S.read_json_text(spark, path).select("text")
+    path = scratch_path(spark, "text")
+    docs = table(spark, d, "documents").repartition("source").sortWithinPartitions("source", "doc_id")
+    docs.select("source", "doc_id", "text", "lang").write.partitionBy("source").json(path)
+    return S.read_json_text(spark, path).select(_of_file("source"), "text", "row_idx", "n_rows")
 
 
-@query("scan_instructions", f"WITH {SQL_INSTRUCTIONS} SELECT instruction, input, output FROM instr")
+@query(
+    "scan_instructions",
+    f"""WITH {SQL_INSTRUCTIONS}
+    SELECT instruction, input, output, row_number() OVER (PARTITION BY conv_id % 4 ORDER BY conv_id, turn) - 1 AS row_idx,
+      count(*) OVER (PARTITION BY conv_id % 4) AS n_rows FROM instr""",
+)
 def scan_instructions(spark: SparkSession, d: str) -> DataFrame:
-    path = scratch_path(spark, "instructions") + ".json"
-    instructions(spark, d).write.option("ignoreNullFields", "false").json(path)
-    return S.read_instructions(spark, path).select("instruction", "input", "output")
+    """Four files; in the first rows of some the extra input does not occur."""
+    path = scratch_path(spark, "instructions")
+    rows = instructions(spark, d).withColumn("part", F.col("conv_id") % 4)
+    rows.repartition("part").sortWithinPartitions("part", "conv_id", "turn").drop("conv_id", "turn").write.partitionBy("part").json(path)
+    return S.read_instructions(spark, path).select("instruction", "input", "output", "row_idx", "n_rows")
 
 
 @query(
@@ -109,19 +146,19 @@ def load_corpus(spark: SparkSession, d: str) -> DataFrame:
     return S.load_corpus(spark, _corpus(spark, d), "test").select("doc_id", F.md5("text").alias("text_md5"))
 
 
-@query("write_source", "SELECT doc_id, source, n_chars FROM documents")
+@query("write_source", "SELECT doc_id, source, n_chars, md5(text) AS text_md5 FROM documents")
 def write_source(spark: SparkSession, d: str) -> DataFrame:
     path = S.write_source(table(spark, d, "documents"), scratch_path(spark, "single"), "documents")
-    return spark.read.parquet(path).select("doc_id", "source", "n_chars")
+    return spark.read.parquet(path).select("doc_id", "source", "n_chars", F.md5("text").alias("text_md5"))
 
 
 @query(
     "write_corpus",
-    f"{_SPLIT} SELECT doc_id, CASE WHEN rn <= ceil(n * 0.05::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM r",
+    f"{_SPLIT} SELECT doc_id, CASE WHEN rn <= ceil(n * 0.05::DOUBLE) THEN 'test' ELSE 'train' END AS split, md5(text) AS text_md5 FROM r",
 )
 def write_corpus(spark: SparkSession, d: str) -> DataFrame:
     folder = _corpus(spark, d)
-    parts = [S.load_corpus(spark, folder, s).select("doc_id", F.lit(s).alias("split")) for s in ("train", "test")]
+    parts = [S.load_corpus(spark, folder, s).select("doc_id", F.lit(s).alias("split"), F.md5("text").alias("text_md5")) for s in ("train", "test")]
     return parts[0].unionByName(parts[1])
 
 
@@ -148,24 +185,33 @@ def materialize_once(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "scan_corpus_dirs",
-    """SELECT 'documents' AS name, text FROM documents
-       UNION ALL SELECT 'benchmark' AS name, text FROM benchmark""",
+    """SELECT 'documents' AS name, doc_id AS id, text FROM documents
+       UNION ALL SELECT 'benchmark' AS name, item_id AS id, text FROM benchmark
+       UNION ALL SELECT 'pages' AS name, NULL AS id, html AS text FROM pages""",
 )
 def scan_corpus_dirs(spark: SparkSession, d: str) -> DataFrame:
-    """Two corpora and one folder that holds none."""
+    """Corpora of other types and columns than the first, and a folder that holds none."""
     root = scratch_path(spark, "corpora")
-    for name in ("documents", "benchmark"):
-        table(spark, d, name).select("text").write.parquet(f"{root}/{name}/train")
+    table(spark, d, "benchmark").select(F.col("item_id").alias("id"), "text").write.parquet(f"{root}/benchmark/train")
+    docs = table(spark, d, "documents").select("lang", F.col("doc_id").cast("int").alias("id"), "text")
+    docs.write.partitionBy("lang").parquet(f"{root}/documents/train")
+    table(spark, d, "pages").select("url", F.col("html").alias("text")).write.parquet(f"{root}/pages/train")
     table(spark, d, "benchmark").select("text").write.text(f"{root}/broken/other")
-    return S.scan_corpus_dirs(spark, root).select("name", "text")
+    return S.scan_corpus_dirs(spark, root).select("name", "id", "text")
 
 
-@query("scan_dir_glob", "SELECT text FROM documents")
+@query("scan_dir_glob", "SELECT 'json' AS kind, text FROM documents UNION ALL SELECT 'txt' AS kind, replace(text, chr(10), ' ') AS text FROM benchmark")
 def scan_dir_glob(spark: SparkSession, d: str) -> DataFrame:
+    """A folder of JSON lines, a JSON array and text: each kind by its suffix."""
     folder = scratch_path(spark, "glob")
-    docs = table(spark, d, "documents")
-    docs.select("text").write.json(folder)
-    docs.select("text").write.mode("append").option("lineSep", "\n").text(folder)
-    return S.read_dir(spark, folder, suffix="json").select("text")
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs.where("doc_id % 3 > 0").select("text").write.json(folder)
+    table(spark, d, "benchmark").select(F.replace("text", F.lit("\n"), F.lit(" ")).alias("value")).write.mode("append").text(folder)
+    held = F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list(F.to_json(F.struct("text")))), ",\n"), F.lit("]"))
+    arrays = docs.where("doc_id % 3 = 0").groupBy((F.col("doc_id") % 48).alias("part")).agg(held.alias("value"))
+    arrays.repartition("part").write.mode("append").partitionBy("part").option("lineSep", "\n").text(f"{folder}/arrays")
+    parts = [S.read_dir(spark, folder, suffix=kind).select(F.lit(kind).alias("kind"), "text") for kind in ("json", "txt")]
+    other = S.read_json_text(spark, f"{folder}/arrays").select(F.lit("json").alias("kind"), "text")
+    return parts[0].unionByName(parts[1]).unionByName(other)
 
 

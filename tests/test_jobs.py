@@ -64,6 +64,63 @@ def test_text_paragraphs_and_documents(spark, tmp_path):
         S.read_text(spark, path, sample_by="word")
 
 
+def test_paragraphs_at_any_split(spark, tmp_path, small_splits):
+    """Runs of newlines, as cutting at every two of them from the left has it."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    texts = {}
+    for i, (gap, end) in enumerate([(2, 1), (3, 3), (4, 0), (5, 2)]):
+        texts[f"{i}.txt"] = "\n" * i + ("\n" * gap).join(f"paragraph {j}\nof file" for j in range(25)) + "\n" * end
+        (tmp_path / f"{i}.txt").write_text(texts[f"{i}.txt"])
+    got = S.read_text(spark, str(tmp_path), sample_by="paragraph").orderBy("file", "row_idx").collect()
+    for name, text in texts.items():
+        mine = [r for r in got if r.file.endswith(name)]
+        assert [r.text for r in mine] == [p for p in text.split("\n\n") if p], name
+        assert [r.row_idx for r in mine] == list(range(len(mine))) and {r.n_rows for r in mine} == {len(mine)}
+
+
+def test_numbers_hold_when_splits_change(spark, tmp_path, small_splits):
+    path = tmp_path / "a.txt"
+    path.write_text("".join(f"line {i}\n" for i in range(2000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    df = S.read_text(spark, str(path))
+    for name, value in (("spark.sql.files.maxPartitionBytes", "3000"), ("spark.sql.files.minPartitionNum", "7")):
+        spark.conf.set(name, value)
+        got = df.orderBy("row_idx").collect()
+        assert [r.text for r in got] == [f"line {i}" for i in range(2000)] and [r.row_idx for r in got] == list(range(2000))
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_json_forms_are_each_files_own(spark, tmp_path):
+    (tmp_path / "big [1].json").write_text("\n [" + ",\n".join(f'{{"text": "a{i}"}}' for i in range(20)) + "]")
+    (tmp_path / "lines.json").write_text("\n" + "".join(f'{{"id": 1, "text": "b{i}"}}\n' for i in range(50)))
+    got = S.read_dir(spark, str(tmp_path), suffix="json").collect()
+    assert sorted(r.text for r in got) == sorted([f"a{i}" for i in range(20)] + [f"b{i}" for i in range(50)])
+    assert {(r.source, r.n_rows) for r in got} == {("big [1]", 20), ("lines", 50)}
+
+
+def test_field_that_occurs_late(spark, tmp_path):
+    late = "".join(f'{{"instruction": "i{i}", "output": "o"}}\n' for i in range(1199)) + '{"instruction": "x", "input": "y", "output": "z"}\n'
+    (tmp_path / "a.jsonl").write_text(late)
+    got = S.read_instructions(spark, str(tmp_path / "a.jsonl")).collect()
+    assert len(got) == 1200 and [r.input for r in got if r.row_idx == 1199] == ["y"]
+
+
+def test_line_ends_of_compressed_files(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.txt.gz").write_bytes(gzip.compress(b"one\ntwo\n"))
+    assert rows(S.read_text(spark, str(tmp_path / "a.txt.gz"))) == ["one", "two"]
+    with pytest.raises(ValueError, match="compressed"):
+        S.read_text(spark, str(tmp_path / "a.txt.gz"), keep_linebreaks=True)
+
+
+def test_corpora_of_unlike_schema(spark, tmp_path):
+    spark.sql("select 1 as label, 'a' as text from range(5)").write.parquet(str(tmp_path / "a/train"))
+    spark.sql("select id as label, 'b' as text, 2 as more from range(7)").write.parquet(str(tmp_path / "b/train"))
+    got = S.scan_corpus_dirs(spark, str(tmp_path))
+    assert got.columns == ["name", "label", "text"] and got.groupBy("name").count().orderBy("name").collect() == [("a", 5), ("b", 7)]
+
+
 def test_nothing_has_arrived(spark, tmp_path):
     (tmp_path / "in").mkdir()
     state, out = str(tmp_path / "state"), str(tmp_path / "out")
