@@ -72,15 +72,9 @@ def _cut_source(source: str, mode: str, room: Column, p: int, q: int, cap: int)
     """The source cut to ``room`` tokens: prefix, part of the instruction, suffix."""
     ids = F.col(source)
     middle = room - p - q
-    if mode == "keep_head":
-        first, last = p + middle, F.lit(q)
-    elif mode == "keep_tail":
-        first, last = F.lit(p), q + middle
-    else:
-        front = F.least(F.floor(middle / 2).cast("int"), F.lit(cap))
-        back = F.least(middle - front, F.lit(cap))
-        first = p + front + F.greatest(F.lit(0), middle - (front + back))
-        last = q + back
+    kept = {"keep_head": F.lit(0), "keep_tail": middle, "head_tail": F.least(F.ceil(middle / 2).cast("int"), F.lit(cap))}[mode]
+    last = q + kept
+    first = room - last
     usable = (first >= 0) & (last > 0)
     cut = F.concat(A.head(ids, first), A.tail(ids, last))
     return F.when(usable, cut).otherwise(

@@ -57,14 +57,17 @@ def top_logprobs(
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Per position the alternatives as a map token -> log-probability, all of
-    them or the ``k`` likeliest."""
+    them or the ``k`` likeliest; of a position without any, an empty map."""
     entries = positions.select(*key, "pos", F.explode("logprobs").alias("id", "logprob"))
     if k is not None:
         best = W.partitionBy(*key, "pos").orderBy(F.desc("logprob"), "id")
         entries = entries.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k).drop("_r")
     named = _lookup(entries, vocab, on="id", spread=[*key, "pos", "id"], limit=broadcast_rows)
     pairs = F.sort_array(F.collect_list(F.struct("token", "logprob")))
-    return named.groupBy(*key, "pos").agg(F.map_from_entries(pairs).alias("top_logprobs"))
+    found = named.groupBy(*key, "pos").agg(F.map_from_entries(pairs).alias("top_logprobs"))
+    nothing = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
+    bare = positions.where(F.coalesce(F.size("logprobs"), F.lit(0)) <= 0).select(*key, "pos", nothing.alias("top_logprobs"))
+    return found.unionByName(bare)
 
 
 def next_token_prob(positions: DataFrame, candidates: Sequence[int], *, key: Sequence[str] = CHOICE) -> DataFrame:

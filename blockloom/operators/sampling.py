@@ -150,22 +150,26 @@ def mix(
     seed: int = SEED,
     source: str = "source",
     default: float | None = None,
+    leave_out: bool = False,
 ) -> DataFrame:
     """Weight the sources of one table: a share below 1 samples exactly
     ``ceil(n * share)`` rows, a whole number repeats every row.
 
-    Sources without a weight get ``default``, or are left out.  Adds
-    ``copy_no``.  One pass over all sources; the weights are a small table.
+    Sources without a weight get ``default``; without one they raise, or with
+    ``leave_out`` are left out.  Adds ``copy_no``.  One pass over all sources; the weights are a small table.
     """
     weights = {name: float(check_weight(w)) for name, w in weights.items()}
     if default is not None:
         check_weight(default)
     spark = df.sparkSession
     table = spark.createDataFrame(list(weights.items()), f"{source} string, _weight double")
-    how = "left" if default is not None else "inner"
+    how = "inner" if leave_out and default is None else "left"
     weighted = df.join(F.broadcast(table) if len(weights) <= FEW_GROUPS else table, source, how)
     if default is not None:
         weighted = weighted.withColumn("_weight", F.coalesce("_weight", F.lit(float(default))))
+    elif not leave_out:
+        unknown = F.raise_error(F.concat(F.lit("no weight for source "), F.coalesce(F.col(source).cast("string"), F.lit("null"))))
+        weighted = weighted.withColumn("_weight", F.coalesce("_weight", unknown.cast("double")))
     wanted = (
         weighted.where(F.col("_weight") < 1)
         .groupBy(source)

@@ -104,13 +104,8 @@ def _truncated(spark: SparkSession, d: str, mode: str = "head_tail") -> DataFram
 
 def _sql_ends(mode: str, cap: int) -> tuple[str, str]:
     """Head and tail lengths; the default prompt's overhead is 10 and 1."""
-    front = f"least(m // 2, {cap})"
-    back = f"least(m - {front}, {cap})"
-    return {
-        "head_tail": (f"10 + {front} + greatest(0, m - {front} - {back})", f"1 + {back}"),
-        "keep_head": ("10 + m", "1"),
-        "keep_tail": ("10", "1 + m"),
-    }[mode]
+    kept = {"head_tail": f"least((m + 1) // 2, {cap})", "keep_head": "0", "keep_tail": "m"}[mode]
+    return f"11 + m - (1 + {kept})", f"1 + {kept}"
 
 
 def sql_truncated(mode: str, cap: int = CAP) -> str:

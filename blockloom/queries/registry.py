@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blockloom.functions import text as T
 from blockloom.operators.instruct import encode_pairs
 from blockloom.operators.rows import explode_pieces, with_row_index
 from blockloom.operators.vocab import Vocabulary, build_vocab, encode
@@ -185,9 +186,13 @@ instr AS (
   FROM following f LEFT JOIN systems s USING (conv_id)
   WHERE f.role = 'user' AND f.next_role = 'assistant')"""
 
-SQL_SYSTEM = "You are a helpful assistant. 你是一个乐于助人的助手。"
-SQL_PROMPT = f"""'[INST] <<SYS>>' || chr(10) || '{SQL_SYSTEM}' || chr(10) || '<</SYS>>' || chr(10) || chr(10)
-  || CASE WHEN coalesce(input, '') <> '' THEN instruction || chr(10) || input ELSE instruction END || ' [/INST]'"""
+def _sql_text(text: str) -> str:
+    """A string constant; newlines as ``chr(10)``."""
+    return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+SQL_PROMPT = f"""{_sql_text(T.PROMPT_OPEN + T.SYSTEM_MESSAGE + T.PROMPT_MIDDLE)}
+  || CASE WHEN coalesce(input, '') <> '' THEN instruction || chr(10) || input ELSE instruction END || {_sql_text(T.PROMPT_CLOSE)}"""
 
 SQL_PAIRS = f"""{SQL_VOCAB},{SQL_INSTRUCTIONS},
 texts AS (SELECT conv_id, turn, {SQL_PROMPT} AS prompt, coalesce(output, 'None') AS answer FROM instr),

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blockloom.functions import text as T
 from blockloom.operators import requests as Q
 from blockloom.operators.vocab import encode
-from blockloom.queries.registry import SQL_SYSTEM, SQL_VOCAB, query, sql_encode, table, vocabulary
+from blockloom.queries.registry import SQL_VOCAB, query, sql_encode, table, vocabulary
 
 LIMIT = 300
 SERVED = "served-model"
@@ -19,7 +20,7 @@ folded AS (
       ORDER BY turn) FILTER (WHERE role <> 'system'), '') AS body
   FROM conversations GROUP BY conv_id),
 prompts AS (
-  SELECT conv_id, '[INST] <<SYS>>' || chr(10) || coalesce(system, '{SQL_SYSTEM}') || chr(10) || '<</SYS>>' || chr(10) || chr(10)
+  SELECT conv_id, '[INST] <<SYS>>' || chr(10) || coalesce(system, '{T.SYSTEM_MESSAGE}') || chr(10) || '<</SYS>>' || chr(10) || chr(10)
     || CASE WHEN starts_with(body, '[INST] ') THEN body[8:] ELSE '[/INST]' || body END AS prompt
   FROM folded)"""
 
@@ -70,12 +71,12 @@ def context_fit(spark: SparkSession, d: str) -> DataFrame:
     t AS (SELECT conv_id, len(input_ids) AS n, CAST(50 + conv_id % 100 AS BIGINT) AS wanted, conv_id % 2 = 0 AS chat,
             CASE WHEN conv_id % 7 = 3 THEN 'other-model' ELSE '{SERVED}' END AS model FROM enc),
     s AS (SELECT conv_id, CASE
-        WHEN model <> '{SERVED}' THEN 'The model `' || model || '` does not exist.'
-        WHEN NOT chat AND conv_id % 5 = 1 THEN 'echo is not currently supported'
-        WHEN NOT chat AND conv_id % 5 = 2 THEN 'suffix is not currently supported'
-        WHEN conv_id % 11 = 4 THEN 'logit_bias is not currently supported'
-        WHEN NOT chat AND conv_id % 13 = 5 THEN 'please provide at least one prompt'
-        WHEN NOT chat AND conv_id % 13 = 6 THEN 'multiple prompts in a batch is not currently supported'
+        WHEN model <> '{SERVED}' THEN '{Q.UNKNOWN_MODEL[0]}' || model || '{Q.UNKNOWN_MODEL[1]}'
+        WHEN NOT chat AND conv_id % 5 = 1 THEN '{Q.NO_ECHO}'
+        WHEN NOT chat AND conv_id % 5 = 2 THEN '{Q.NO_SUFFIX}'
+        WHEN conv_id % 11 = 4 THEN '{Q.NO_BIAS}'
+        WHEN NOT chat AND conv_id % 13 = 5 THEN '{Q.NO_PROMPT}'
+        WHEN NOT chat AND conv_id % 13 = 6 THEN '{Q.MANY_PROMPTS}'
         WHEN chat AND n + wanted > {LIMIT} THEN {_MESSAGE} END AS message FROM t)
     SELECT conv_id, CAST(CASE WHEN message IS NULL THEN 200 WHEN message LIKE 'The model %' THEN 404 ELSE 400 END AS INTEGER) AS status,
       message FROM s""",

@@ -83,7 +83,9 @@ def test_mix(spark, partitions):
     assert len(set(rows)) == len(rows)
     assert {r[1] for r in rows if r[0] == "s0"} == set(by_hash(range(0, 400, 4))[:5])
     # A source without a weight is left out, or gets the default.
-    assert {r["source"] for r in M.mix(df, {"s0": 2}, key=["k"]).collect()} == {"s0"}
+    assert {r["source"] for r in M.mix(df, {"s0": 2}, key=["k"], leave_out=True).collect()} == {"s0"}
+    with pytest.raises(Exception, match="no weight for source"):
+        M.mix(df, {"s0": 2}, key=["k"]).collect()
     assert M.mix(df, {"s0": 2}, key=["k"], default=1).count() == 500
     one = keyed(spark, 1).withColumn("source", F.lit("x"))
     assert M.mix(one, {"x": 0.5}, key=["k"]).count() == 1
