@@ -166,15 +166,8 @@ def _links(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * both >= similar * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
-def similar_documents(documents: DataFrame, gram: int = GRAM, similar: int = SIMILAR) -> DataFrame:
-    """Per row ``doc_id``, ``tkey``, ``n_shingles`` and ``component_id``, the least
-    id that links reach.
-
-    Null and empty texts have no shingles and link with nothing; texts of fewer
-    words than a shingle link with equal ones. Repeated rows each get their row;
-    null ids never are the least. Other columns are ignored. Classes and shingles
-    are told apart by 64-bit hashes.
-    """
+def _members(documents: DataFrame, gram: int, similar: int) -> DataFrame:
+    """``doc_id``, ``tkey``, ``n_shingles`` and ``component`` (of classes) of every row."""
     classes = keep(_classes(documents, gram), "classes")
     own = _sampled(documents, gram).groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low = high")
     lone = own.groupBy("low").agg(F.count("*").alias("lone"))
@@ -195,6 +188,19 @@ def similar_documents(documents: DataFrame, gram: int = GRAM, similar: int = SIM
     named = classes.join(found, F.col("class") == F.col("node"), "left").select("doc_id", "tkey", "n_shingles", F.coalesce("component", "class").alias("component"))
     named = keep(named, "members")
     release(classes, found)
+    return named
+
+
+def similar_documents(documents: DataFrame, gram: int = GRAM, similar: int = SIMILAR) -> DataFrame:
+    """Per row ``doc_id``, ``tkey``, ``n_shingles`` and ``component_id``, the least
+    id that links reach.
+
+    Null and empty texts have no shingles and link with nothing; texts of fewer
+    words than a shingle link with equal ones. Repeated rows each get their row;
+    null ids never are the least. Other columns are ignored. Classes and shingles
+    are told apart by 64-bit hashes.
+    """
+    named = _members(documents, gram, similar)
     least = named.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     linked = named.where("n_shingles > 0").join(least, "component").select("doc_id", "tkey", "n_shingles", F.col("least").alias("component_id"))
     return linked.unionByName(named.where("n_shingles = 0").select("doc_id", "tkey", "n_shingles", F.col("doc_id").alias("component_id")))
@@ -204,11 +210,11 @@ def one_of_each(documents: DataFrame, gram: int = GRAM, similar: int = SIMILAR)
     """The documents, columns as they are, one row of each component: the least
     id's, and of several texts under that id the one with the least text hash.
     Rows that link with nothing stay, empty ones included."""
-    members = keep(similar_documents(documents, gram, similar), "similar").where("n_shingles > 0")
-    best = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey")).alias("best"), F.count("*").alias("n"))
+    members = _members(documents, gram, similar).where("n_shingles > 0")
+    best = members.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey")).alias("best"), F.count("*").alias("n"))
     extra = (
-        members.alias("m").join(best.where("n > 1").alias("b"), same(F.col("m.component_id"), F.col("b.component_id")))
-        .where(~(same(F.col("m.doc_id"), F.col("best.doc_id")) & (F.col("m.tkey") == F.col("best.tkey"))) & F.col("m.component_id").isNotNull())
+        members.alias("m").join(best.where("n > 1").alias("b"), F.col("m.component") == F.col("b.component"))
+        .where(~(same(F.col("m.doc_id"), F.col("best.doc_id")) & (F.col("m.tkey") == F.col("best.tkey"))))
         .select(F.col("m.doc_id").alias("doc_id"), F.col("m.tkey").alias("tkey"))
     )
     kept = rows_by_key(documents, extra, "left_anti")
