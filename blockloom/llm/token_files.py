@@ -49,6 +49,13 @@ _FIELDS = [
 SCHEMA = "shard int, block int, doc_ids array<long>, doc_ends array<long>, n_tokens long, base long, rules binary, lengths binary, symbols binary"
 
 
+_SLOT_BITS = 20
+
+
+def _slot(pairs: np.ndarray) -> np.ndarray:
+    return (pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+
 def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     """Base, rules, expansion lengths and symbols of a block of ids.
 
@@ -72,8 +79,11 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
         if len(often) > PAIRS:
             often = often[np.argsort(-counts[often], kind="stable")[:PAIRS]]
         chosen = np.sort(ordered[edges[often]])
-        at = np.minimum(np.searchsorted(chosen, pairs), len(chosen) - 1)
-        hit = chosen[at] == pairs
+        # the chosen pairs by a hash; of two with the same one waits for the next round
+        slots = np.full(1 << _SLOT_BITS, -1, np.int32)
+        slots[_slot(chosen)] = np.arange(len(chosen))
+        at = slots[_slot(pairs)]
+        hit = chosen[at] == pairs  # an empty slot, -1, looks at the last pair, which is no harm
         # every second place of a run of neighbouring hits
         places = np.flatnonzero(hit)
         starts = np.append(True, np.diff(places) > 1)
