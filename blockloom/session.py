@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -45,7 +47,8 @@ def build_session(
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Only a local master may go without the setting; it gets a temporary folder.
+    Only a local master may go without the setting; it gets a temporary folder
+    that goes with the process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -56,6 +59,7 @@ def scratch_root(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _scratch_roots:
         _scratch_roots[app] = tempfile.mkdtemp(prefix="blockloom-")
+        atexit.register(shutil.rmtree, _scratch_roots[app], ignore_errors=True)
     return _scratch_roots[app]
 
 
