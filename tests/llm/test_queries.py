@@ -133,17 +133,18 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     assert sum(not r.kept for r in rows if r.quality == 0) > 0.8 * sum(r.quality == 0 for r in rows)
 
 
-def test_pipeline_stages(spark):
+def test_pipeline_stages(spark, tmp_path):
     """Stages narrow one another, keep the columns, and end in sequences."""
-    first = docs = table(spark, FOLDER, "documents")
-    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    docs = table(spark, FOLDER, "documents")
+    columns, ids = docs.columns, {r.doc_id for r in docs.select("doc_id").collect()}
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "line_dedup", "ngram_join", "decontamination", "best_fit_packing"]
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, FOLDER)
-        assert docs.columns == first.columns, name
+        stage(spark, docs, FOLDER).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert docs.columns == columns, name
         left = {r.doc_id for r in docs.select("doc_id").collect()}
         assert left <= ids and left
         ids = left
-    packed = corpus_pipeline.run(spark, FOLDER).collect()
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).collect()
     assert {r.doc_id for r in packed} == ids
