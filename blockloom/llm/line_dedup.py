@@ -1,7 +1,7 @@
 """Fuzzy line deduplication by MinHash.
 
-A line's set holds its character shingles: every word with the first ``SHINGLE``
-characters after it. One hash orders the set, and
+A line's set holds its character shingles: ``SHINGLE`` characters from every
+character on, blanks included. One hash orders the set, and
 its range is cut into ``BANDS`` stretches: from each stretch's first hash the
 ``ROWS`` next ones, the range taken as a circle, make a band. Each of them is
 the same in two sets with the probability of their Jaccard similarity. Lines
@@ -21,7 +21,7 @@ from blockloom.llm.common import keep, release, same, sent, text_key
 from blockloom.llm.components import components, first_pairs, remaining_pairs
 from blockloom.llm.quality import let
 
-SHINGLE = 4
+SHINGLE = 5
 #: Stretches are told by the hash's three leading bits. Similarity 0.8 is found
 #: with probability 1 - (1 - 0.8**3)**8 > 0.996, 0.9 with more than 0.9999.
 BANDS, ROWS = 8, 3
@@ -37,28 +37,27 @@ def _lines(documents: DataFrame) -> DataFrame:
 
 
 def _shingles(line: str) -> Column:
-    """The distinct hashes of a line's shingles, ascending."""
-    wide = F.octet_length(line) >= 2 * F.length(line)  # scripts without blanks: every character is a word
-    spaced = F.when(wide, F.regexp_replace(line, r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}])", "$1 ")).otherwise(F.col(line))
-
-    def each(words: Column) -> Column:
-        following = F.slice(words, F.lit(2), F.size(words))
-        return F.zip_with(words, following, lambda word, after: F.xxhash64(word, F.left(after, F.lit(SHINGLE))))
-
-    return F.sort_array(F.array_distinct(let(F.split(spaced, " ", -1), each)))
+    """The distinct hashes of a line's shingles, ascending. A shorter line is one
+    shingle. Four bytes a character make every place a fixed one, so that nothing
+    is sought from the line's beginning and the steps stay linear at any length."""
+    at = F.sequence(F.lit(1), 4 * F.greatest(F.length(line) - SHINGLE, F.lit(0)) + 1, F.lit(4))
+    hashes = let(F.encode(F.col(line), "UTF-32"), lambda raw: F.transform(at, lambda i: F.xxhash64(F.substring(raw, i, F.lit(4 * SHINGLE)))))
+    return F.sort_array(F.array_distinct(hashes))
 
 
 def _with_bands(lines: DataFrame) -> DataFrame:
     """``bands``: the keys of the sorted set ``shingles``, one of each stretch that
     has a hash. Steps are columns of their own, so that they are compiled."""
     own = [c for c in lines.columns if c != "shingles"]
-    out = lines.withColumn("stretches", F.transform("shingles", lambda h: F.shiftright(h, 61)))
+    limits = [F.lit((b - BANDS // 2) << 61) for b in range(BANDS)]
+    # the stretches' limits sorted in among the hashes: a limit's place less those before it is its stretch's beginning
+    out = lines.withColumn("among", F.sort_array(F.concat(F.col("shingles"), F.array(*limits)))).withColumn(f"at{BANDS}", F.size("shingles") + 1)
     for b in range(BANDS):
-        out = out.withColumn(f"at{b}", F.array_position("stretches", b - BANDS // 2).cast("int"))
+        out = out.withColumn(f"at{b}", (F.array_position("among", limits[b]) - b).cast("int"))
 
     def key(b: int) -> Column:
         at = F.col(f"at{b}")
-        return F.when(at > 0, F.xxhash64(F.lit(b), *(F.get("shingles", (at - 1 + r) % F.size("shingles")) for r in range(ROWS))))
+        return F.when(at < F.col(f"at{b + 1}"), F.xxhash64(F.lit(b), *(F.get("shingles", (at - 1 + r) % F.size("shingles")) for r in range(ROWS))))
 
     return out.select(*own, F.array_compact(F.array(*map(key, range(BANDS)))).alias("bands"))
 
@@ -80,10 +79,13 @@ def _may_link() -> Column:
     return (100 * F.least(n, m) >= SIMILAR * F.greatest(n, m)) & ((100 + SIMILAR) * differ <= (100 - SIMILAR) * (n + m))
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    left, right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs that are similar. Lines move, not their sets, which are eight times as large."""
+    left, right = texts.select(F.col("node").alias("a"), F.col("line").alias("la")), texts.select(F.col("node").alias("b"), F.col("line").alias("lb"))
+    sets = pairs.join(left, "a").join(right, "b").select("a", "b", _shingles("la").alias("sa"), _shingles("lb").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(left, "a").join(right, "b").where(100 * both >= SIMILAR * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+    sized = sets.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("n"))
+    return sized.where(100 * F.col("both") >= SIMILAR * (F.col("n") - F.col("both"))).select("a", "b")
 
 
 def repeated_lines(documents: DataFrame) -> DataFrame:
@@ -95,18 +97,19 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     shared = keep(each.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key"), "shared")
     entries = keep(each.join(sent(shared, shared.count()), "key").distinct(), "bands")
     asked = keep(entries.select(F.col("node").alias("asked")).distinct(), "asked")
-    compared = _lines(documents).join(sent(asked, asked.count()), F.col("node") == F.col("asked"), "left_semi").select("node", _shingles("line").alias("shingles"))
-    sets = keep(compared.groupBy("node").agg(F.first("shingles").alias("shingles"), F.count("*").alias("copies")), "sets")
-    described = sets.select("node", F.size("shingles").alias("n"), (-F.col("copies")).alias("rank"), _parities("shingles").alias("parity"))
+    compared = _lines(documents).join(sent(asked, asked.count()), F.col("node") == F.col("asked"), "left_semi")
+    distinct = compared.groupBy("node").agg(F.first("line").alias("line"), F.count("*").alias("copies"))
+    texts = keep(distinct, "texts")
+    described = texts.select("node", (-F.col("copies")).alias("rank"), _shingles("line").alias("shingles")).select("node", F.size("shingles").alias("n"), "rank", _parities("shingles").alias("parity"))
     sized = keep(entries.join(described, "node"), "entries")
     release(shared, entries, asked)
-    near = keep(_links(first_pairs(sized, ["rank"], _may_link()), sets), "links")
+    near = keep(_links(first_pairs(sized, ["rank"], _may_link()), texts), "links")
     found = components(near)
-    far = keep(_links(remaining_pairs(sized, found, _may_link()), sets), "links")
+    far = keep(_links(remaining_pairs(sized, found, _may_link()), texts), "links")
     if not far.isEmpty():
         release(found)
         found = components(near.unionByName(far))
-    release(sets, sized, near, far)
+    release(texts, sized, near, far)
     named = lines.select("doc_id", "tkey", "at", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey", "at")
     first = named.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")

@@ -211,6 +211,27 @@ def test_line_components_against_all_pairs(spark):
     assert gone == {i for i in range(120) if first[i] != i}
 
 
+def test_line_shingles_are_characters(spark):
+    """Every place of a line begins a shingle, in any script."""
+    lines = ["first line that is long enough", "https://a.example/x?y=1", "ខ្ញុំស្រឡាញ់ភាសាខ្មែរណាស់", "日本語の文章です。短い文", "a\U0001f600b\U0001f600c\U0001f600d", "abc", "aaaaaaaaaaaaaaaaaaaaaaaa"]
+    rows = spark.createDataFrame(list(enumerate(lines)), "i int, line string").withColumn("s", line_dedup._shingles("line")).collect()
+    for r in rows:
+        assert list(r.s) == sorted(r.s) and len(r.s) == len({r.line[i : i + 5] for i in range(max(1, len(r.line) - 4))})
+
+
+def test_short_near_copies_of_lines_go(spark):
+    """A changed word or letter of a short line, and of lines without blanks."""
+    pairs = [
+        ("first line that is long enough to count here", "first line that is long enough to count here x"),
+        ("Inenen edingon aterin solumde marita pelon at orinre", "Inenen edingon aterin solumde marita pelon that orinre"),
+        ("https://www.site.example/archive/2024/entries/of/the/month/index.html", "https://www.site.example/archive/2024/entries/of/the/month/index.htm"),
+        ("ខ្ញុំស្រឡាញ់ភាសាខ្មែរណាស់ហើយចង់រៀនវាឱ្យបានល្អជាងនេះទៀត", "ខ្ញុំស្រឡាញ់ភាសាខ្មែរណាស់ហើយចង់រៀនវាឱ្យបានល្អជាងនេះ"),
+    ]
+    rows = [(2 * i + j, x) for i, pair in enumerate(pairs) for j, x in enumerate(pair)]
+    gone = line_dedup.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in gone) == [1, 3, 5, 7]
+
+
 def test_robust_estimate_against_numpy(spark):
     """Concentration steps on a contaminated sample come near the clean part's moments."""
     rng = np.random.default_rng(4)
