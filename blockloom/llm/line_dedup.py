@@ -26,14 +26,17 @@ SHINGLE = 5
 #: with probability 1 - (1 - 0.8**3)**8 > 0.996, 0.9 with more than 0.9999.
 BANDS, ROWS = 8, 3
 SIMILAR = 80
-#: Shorter lines stay as they are: headings and single words recur in clean texts.
+#: Shorter lines are compared whole, if they take part: a set of so few shingles is no measure of likeness.
 MIN_CHARS = 20
 
 
-def _lines(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``tkey``, ``at`` and ``line`` of all lines that take part."""
+def _lines(documents: DataFrame, short: bool = False) -> DataFrame:
+    """``doc_id``, ``tkey``, ``at``, ``line`` and its hash ``node`` of all lines
+    that take part; with ``short`` also of those under ``MIN_CHARS`` characters
+    that are not blank."""
     split = documents.select("doc_id", text_key().alias("tkey"), F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
-    return split.where(F.length("line") >= MIN_CHARS).withColumn("node", F.xxhash64("line"))
+    long = F.length("line") >= MIN_CHARS
+    return split.where(long | F.col("line").rlike(r"\S") if short else long).withColumn("node", F.xxhash64("line"))
 
 
 def _shingles(line: str) -> Column:
@@ -88,11 +91,12 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return sized.where(100 * F.col("both") >= SIMILAR * (F.col("n") - F.col("both"))).select("a", "b")
 
 
-def repeated_lines(documents: DataFrame) -> DataFrame:
+def repeated_lines(documents: DataFrame, short: bool = False) -> DataFrame:
     """``doc_id``, ``tkey`` and ``at`` of each line that goes: all but the first
     of its component, in the order of document ids (nulls last), text hashes and
-    line numbers. Of a repeated row, one row's lines are the first."""
-    lines = keep(_with_bands(_lines(documents).withColumn("shingles", _shingles("line")).drop("line")), "lines")
+    line numbers. Of a repeated row, one row's lines are the first. With ``short``,
+    lines under ``MIN_CHARS`` characters go where they are exact repeats."""
+    lines = keep(_with_bands(_lines(documents).select("node", _shingles("line").alias("shingles"))), "lines")
     each = lines.select("node", F.explode("bands").alias("key"))
     shared = keep(each.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key"), "shared")
     entries = keep(each.join(sent(shared, shared.count()), "key").distinct(), "bands")
@@ -102,7 +106,7 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     texts = keep(distinct, "texts")
     described = texts.select("node", (-F.col("copies")).alias("rank"), _shingles("line").alias("shingles")).select("node", F.size("shingles").alias("n"), "rank", _parities("shingles").alias("parity"))
     sized = keep(entries.join(described, "node"), "entries")
-    release(shared, entries, asked)
+    release(lines, shared, entries, asked)
     near = keep(_links(first_pairs(sized, ["rank"], _may_link()), texts), "links")
     found = components(near)
     far = keep(_links(remaining_pairs(sized, found, _may_link()), texts), "links")
@@ -110,21 +114,22 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
         release(found)
         found = components(near.unionByName(far))
     release(texts, sized, near, far)
-    named = lines.select("doc_id", "tkey", "at", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = _lines(documents, short).select("doc_id", "tkey", "at", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey", "at")
     first = named.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     return named.join(first, "component").where(place > F.col("first")).select("doc_id", "tkey", "at")
 
 
-def without_repeats(documents: DataFrame) -> DataFrame:
+def without_repeats(documents: DataFrame, short: bool = False) -> DataFrame:
     """The documents with ``n_lines`` (all lines), ``n_removed`` and ``text``
     without its repeated lines; other columns as they are.
 
     Null and empty texts have no lines and stay. Lines under ``MIN_CHARS``
-    characters always stay. Rows with equal id and text lose the same lines:
+    characters stay unless ``short``: then exact repeats of them go, but for blank
+    lines. Rows with equal id and text lose the same lines:
     their first lines stay in each.
     """
-    gone = repeated_lines(documents).groupBy("doc_id", "tkey").agg(F.sort_array(F.collect_set("at")).alias("gone"))
+    gone = repeated_lines(documents, short).groupBy("doc_id", "tkey").agg(F.sort_array(F.collect_set("at")).alias("gone"))
     gone = keep(gone, "gone")
     removed = gone.agg(F.sum(F.size("gone") + 2)).first()[0]
     on = same(F.col("d.doc_id"), F.col("z.doc_id")) & (F.xxhash64(F.col("d.text")) == F.col("z.tkey"))
@@ -144,9 +149,9 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     )
 
 
-def dedup_lines(documents: DataFrame) -> DataFrame:
+def dedup_lines(documents: DataFrame, short: bool = False) -> DataFrame:
     """The documents with their columns, repeated lines out, ``n_chars`` anew;
     those that lost every line are gone."""
-    changed = without_repeats(documents).where("n_removed = 0 or text rlike '\\\\S'")
+    changed = without_repeats(documents, short).where("n_removed = 0 or text rlike '\\\\S'")
     out = {c: F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in documents.columns}
     return changed.select(*out.values())

@@ -140,7 +140,7 @@ ORACLES["op3_ngram_join"] = SQL_OP3
 
 
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return without_repeats(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+    return without_repeats(table(spark, folder, "documents"), short=True).select("doc_id", "n_lines", "n_removed", "text")
 
 
 QUERIES["op9_line_dedup"] = op9_line_dedup

@@ -25,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every line but the first of its component goes, and with its last line a document."""
-    return dedup_lines(docs)
+    return dedup_lines(docs, short=True)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

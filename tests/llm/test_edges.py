@@ -13,6 +13,7 @@ from blockloom.llm.line_dedup import dedup_lines, without_repeats
 from blockloom.llm.ngram_join import one_of_each, similar_documents
 from blockloom.llm.pii import personal_spans
 from blockloom.llm.quality import keep_good, quality_verdicts
+from blockloom.llm.queries import QUERIES
 from blockloom.llm.secret_scan import secret_spans
 from blockloom.llm.sharding import document_shards, shuffle_into_shards
 from blockloom.llm.token_files import token_file_digests
@@ -111,6 +112,17 @@ def test_lines_by_hand(spark, docs):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 5] and kept.columns == ["doc_id", "text", "n_chars"]
 
 
+def test_exact_repeats_of_short_lines_go(spark, tmp_path):
+    """In the query and with ``short``; blank lines and near copies of short lines stay."""
+    long = "a line that is long enough to be compared by its shingles"
+    rows = [(1, f"Les.\n\n{long}\nchapter 1"), (2, "Les.\n\nchapter 2\nLes."), (3, f"短い文。\n \n{long}"), (4, "短い文。\n "), (5, None), (6, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in QUERIES["op9_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: (4, 0, rows[0][1]), 2: (4, 2, "\nchapter 2"), 3: (3, 1, "短い文。\n "), 4: (2, 1, " "), 5: (0, 0, None), 6: (0, 0, "")}
+    assert sorted(r.doc_id for r in dedup_lines(df, short=True).collect()) == [1, 2, 3, 5, 6]
+
+
 def test_quality_of_nulls(docs):
     rows = quality_verdicts(docs).collect()
     assert all(r.base_failed and not r.kept for r in rows if r.doc_id in (3, 4, 7, 8))
