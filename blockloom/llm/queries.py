@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ from blockloom.llm.decontaminate import contamination
 from blockloom.llm.html_extract import extract_text
 from blockloom.llm.line_dedup import without_repeats
 from blockloom.llm.ngram_join import similar_documents
+from blockloom.llm.periodic_runs import periodic_runs
 from blockloom.llm.pii import personal_spans
 from blockloom.llm.quality import quality_verdicts
 from blockloom.llm.secret_scan import joined, secret_spans
@@ -144,3 +148,35 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op9_line_dedup"] = op9_line_dedup
+
+
+def _planted_period(ids: pa.Array, first: np.ndarray) -> np.ndarray:
+    """Every tenth document, told by its id's checksum, repeats a stretch of its words to its end."""
+    source = np.arange(first[-1])
+    for d, doc_id in enumerate(ids.to_pylist()):
+        n = int(first[d + 1] - first[d])
+        h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+        if n and h % 10 == 0:
+            g = h // 10
+            a = g % n
+            source[first[d] + a : first[d + 1]] = first[d] + a + np.arange(n - a) % (1 + (n - a) // (3 + g % 8))
+    return source
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs(table(spark, folder, "documents"), rewrite=_planted_period)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("shorter"))))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.before")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.shorter")).alias("period"),
+        F.expr("1000 * best.length div -best.shorter").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+QUERIES["op13_periodic_runs"] = op13_periodic_runs
