@@ -23,6 +23,7 @@ from blockloom.llm.quality import quality_verdicts
 from blockloom.llm.secret_scan import joined, secret_spans
 from blockloom.llm.sharding import document_shards
 from blockloom.llm.token_files import token_file_digests
+from blockloom.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -180,3 +181,10 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op13_periodic_runs"] = op13_periodic_runs
+
+
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
+QUERIES["op11_whitening"] = op11_whitening
