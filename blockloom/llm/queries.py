@@ -23,6 +23,7 @@ from blockloom.llm.quality import quality_verdicts
 from blockloom.llm.secret_scan import joined, secret_spans
 from blockloom.llm.sharding import document_shards
 from blockloom.llm.token_files import token_file_digests
+from blockloom.llm.toxicity import held_out, toxicity, train
 from blockloom.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,3 +189,12 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op11_whitening"] = op11_whitening
+
+
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    scored = toxicity(documents, train(documents, table(spark, folder, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES["op12_toxicity"] = op12_toxicity
