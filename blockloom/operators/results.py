@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from blockloom.operators.vocab import BROADCAST_ROWS, Vocabulary, _lookup
+from blockloom.operators.vocab import BROADCAST_ROWS, Vocabulary, decode
 
 CHOICE = ("request_id", "idx")
 
@@ -26,48 +29,114 @@ def explode_positions(df: DataFrame, *, key: Sequence[str] = CHOICE) -> DataFram
 
 def token_logprob(positions: DataFrame) -> DataFrame:
     """Add the chosen token's own log-probability; a missing one raises."""
-    found = F.try_element_at("logprobs", F.col("token_id"))
-    missing = F.raise_error(F.concat(F.lit("no log-probability for token "), F.col("token_id").cast("string")))
-    return positions.withColumn("token_logprob", F.coalesce(found, missing.cast("double")))
-
-
-def text_offsets(
-    positions: DataFrame,
-    vocab: Vocabulary,
-    *,
-    key: Sequence[str] = CHOICE,
-    initial: int = 0,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Add ``token`` and ``text_offset``: the summed length of the tokens
-    before it, from ``initial``.  A window holds one completion."""
-    ids = positions.withColumnRenamed("token_id", "id")
-    named = _lookup(ids, vocab, on="id", spread=[*key, "pos"], limit=broadcast_rows)
-    before = W.partitionBy(*key).orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
-    offset = F.lit(initial) + F.coalesce(F.sum(F.length("token")).over(before), F.lit(0))
-    return named.withColumnRenamed("id", "token_id").withColumn("text_offset", offset.cast("bigint"))
-
-
-def top_logprobs(
-    positions: DataFrame,
-    vocab: Vocabulary,
-    *,
-    k: int | None = None,
-    key: Sequence[str] = CHOICE,
-    broadcast_rows: int = BROADCAST_ROWS,
+    return positions.withColumn("token_logprob", _chosen(F.col("logprobs"), F.col("token_id")))
+
+
+def _chosen(logprobs: Column, token_id: Column) -> Column:
+    missing = F.raise_error(F.concat(F.lit("no log-probability for token "), token_id.cast("string")))
+    return F.coalesce(F.try_element_at(logprobs, token_id), missing.cast("double"))
+
+
+# These functions travel to the tasks whole, see vocab.py.
+
+
+def _sums_before():
+    """Exclusive running sums of each array, a whole Arrow batch at a time."""
+
+    @F.arrow_udf("array<bigint>")
+    def sums_before(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in batches:
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            values = pc.fill_null(lists.flatten(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            total = np.concatenate(([0], np.cumsum(values)))
+            out = total[:-1] - np.repeat(total[ends[:-1]], sizes)
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out))
+
+    return sums_before
+
+
+def _maps_of():
+    """Names and values of all alternatives of a row, cut into a map a position."""
+
+    @F.arrow_udf("array<map<string,double>>")
+    def maps_of(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for names, values, sizes in batches:
+            rows = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(sizes), 0).to_numpy(zero_copy_only=False))))
+            ends = np.concatenate(([0], np.cumsum(sizes.flatten().to_numpy(zero_copy_only=False))))
+            maps = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), names.flatten(), values.flatten())
+            yield pa.ListArray.from_arrays(pa.array(rows, pa.int32()), maps)
+
+    return maps_of
+
+
+def _paired(df: DataFrame) -> DataFrame:
+    """``token_ids`` and ``logprobs`` cut to the shorter of the two; null counts as empty."""
+    ids = F.coalesce("token_ids", F.array().cast("array<int>"))
+    maps = F.coalesce("logprobs", F.array().cast(df.schema["logprobs"].dataType))
+    n = F.least(F.size(ids), F.size(maps))
+    return df.withColumns({"token_ids": F.slice(ids, 1, n), "logprobs": F.slice(maps, 1, n)})
+
+
+def _named_ids(df: DataFrame, vocab: Vocabulary, ids: str, out: str, broadcast_rows: int) -> DataFrame:
+    """Add the tokens of an array of ids, in the row."""
+    return decode(df, vocab, ids=ids, key=df.columns, out=out, broadcast_rows=broadcast_rows)
+
+
+def text_offsets(df: DataFrame, vocab: Vocabulary, *, initial: int = 0, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Add the arrays ``tokens`` and ``text_offset``: for each of ``token_ids`` its
+    token, and the summed length of the tokens before it, from ``initial``."""
+    named = _named_ids(df, vocab, "token_ids", "tokens", broadcast_rows)
+    before = _sums_before()(F.transform("tokens", lambda t: F.length(t).cast("bigint")))
+    return named.withColumn("text_offset", F.transform(before, lambda at: at + F.lit(initial)))
+
+
+def top_logprobs(df: DataFrame, vocab: Vocabulary, *, k: int | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Add the array ``top_logprobs``: per position of ``logprobs`` the
+    alternatives as a map token -> log-probability, all of them or the ``k``
+    likeliest (ties by id); of a position without any, an empty map.
+
+    Alternatives are ranked inside the row's array, named in one array, and cut
+    apart again by their numbers.
+    """
+    entries = "array<struct<minus:double,id:int>>"
+    ranked = F.transform(
+        F.coalesce("logprobs", F.array().cast(df.schema["logprobs"].dataType)),
+        lambda m: F.coalesce(
+            F.array_sort(F.transform(F.map_entries(m), lambda e: F.struct((-e["value"]).alias("minus"), e["key"].alias("id")))).cast(entries),
+            F.array().cast(entries),
+        ),
+    )
+    best = ranked if k is None else F.transform(ranked, lambda alternatives: F.slice(alternatives, 1, k))
+    flat = df.withColumn("_best", best)
+    flat = flat.withColumns(
+        {
+            "_n": F.transform("_best", lambda alternatives: F.size(alternatives).cast("bigint")),
+            "_ids": F.transform(F.flatten("_best"), lambda e: e["id"]),
+            "_values": F.transform(F.flatten("_best"), lambda e: -e["minus"]),
+        }
+    ).drop("_best")
+    named = _named_ids(flat, vocab, "_ids", "_names", broadcast_rows)
+    return named.withColumn("top_logprobs", _maps_of()("_names", "_values", "_n")).drop("_n", "_ids", "_values", "_names")
+
+
+def logprobs_record(
+    df: DataFrame, vocab: Vocabulary, *, initial: int = 0, broadcast_rows: int = BROADCAST_ROWS, out: str = "logprobs"
 ) -> DataFrame:
-    """Per position the alternatives as a map token -> log-probability, all of
-    them or the ``k`` likeliest; of a position without any, an empty map."""
-    entries = positions.select(*key, "pos", F.explode("logprobs").alias("id", "logprob"))
-    if k is not None:
-        best = W.partitionBy(*key, "pos").orderBy(F.desc("logprob"), "id")
-        entries = entries.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k).drop("_r")
-    named = _lookup(entries, vocab, on="id", spread=[*key, "pos", "id"], limit=broadcast_rows)
-    pairs = F.sort_array(F.collect_list(F.struct("token", "logprob")))
-    found = named.groupBy(*key, "pos").agg(F.map_from_entries(pairs).alias("top_logprobs"))
-    nothing = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
-    bare = positions.where(F.coalesce(F.size("logprobs"), F.lit(0)) <= 0).select(*key, "pos", nothing.alias("top_logprobs"))
-    return found.unionByName(bare)
+    """Replace ``logprobs`` by the record of a choice as one nested value, and
+    add it as ``out``: ``text_offset``, ``token_logprobs``, ``tokens`` and
+    ``top_logprobs``, a value a position each.
+
+    Where ``logprobs`` is null the record is null: none were asked for.  A
+    chosen token without a log-probability raises.  No token row is made.
+    """
+    asked = df.withColumns({"_asked": F.col("logprobs").isNotNull(), "_whole": F.col("token_ids")})
+    placed = text_offsets(_paired(asked), vocab, initial=initial, broadcast_rows=broadcast_rows)
+    named = top_logprobs(placed, vocab, broadcast_rows=broadcast_rows)
+    own = F.transform(F.arrays_zip("token_ids", "logprobs"), lambda z: _chosen(z["logprobs"], z["token_ids"]))
+    record = F.struct("text_offset", own.alias("token_logprobs"), "tokens", "top_logprobs")
+    kept = [F.col("_whole").alias(c) if c == "token_ids" else F.col(f"`{c}`") for c in df.columns if c not in (out, "logprobs")]
+    return named.select(*kept, F.when(F.col("_asked"), record).alias(out))
 
 
 def next_token_prob(positions: DataFrame, candidates: Sequence[int], *, key: Sequence[str] = CHOICE) -> DataFrame:
@@ -98,7 +167,8 @@ def snapshot_delta(df: DataFrame, *, key: Sequence[str] = CHOICE, order: str = "
 def assemble_outputs(df: DataFrame, *, only_output: bool = False, key: str = "request_id") -> DataFrame:
     """One row per request with parallel arrays over its choices, by index.
 
-    The prompt precedes each text unless ``only_output``.
+    The prompt precedes each text unless ``only_output``.  ``logprobs``, where
+    there are any (see :func:`logprobs_record`), become JSON per choice.
     """
     text = F.col("text") if only_output else F.concat("prompt", "text")
     logprobs = F.to_json("logprobs") if "logprobs" in df.columns else F.lit(None).cast("string")

@@ -11,7 +11,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from blockloom.functions.text import (
@@ -22,22 +21,18 @@ from blockloom.functions.text import (
     SPECIAL_TOKENS,
     TOKEN_SEPARATOR,
     UNK_ID,
-    tokens,
 )
+from blockloom.operators.patching import Patch, patch_arrays
 from blockloom.operators.rows import with_row_index
 from blockloom.session import stored
 
 #: A lookup table with more rows than this is not broadcast whole.
 BROADCAST_ROWS = 1_000_000
-#: Up to this many distinct tokens are ranked as they are.
-DIRECT_ROWS = 5_000_000
-#: Copies of the rare part of an oversized lookup table, to spread hot misses.
-SALTS = 16
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """``table(token, id)``; ids are dense and ranked by frequency.
+    """``table(token, id)``; ids are ranked by frequency and may have gaps.
 
     ``max_rows`` is a bound known beforehand; without one the rows are counted.
     """
@@ -50,11 +45,16 @@ class Vocabulary:
 
     @cached_property
     def shared(self) -> Broadcast:
-        """The tokens in id order, for the tasks.  Only for checked sizes."""
-        rows = self.table.toArrow().sort_by("id")
-        if rows.column("id").to_pylist() != list(range(rows.num_rows)):
-            raise ValueError("the ids of a vocabulary must be 0, 1, 2, ...")
-        return self.table.sparkSession.sparkContext.broadcast(rows.column("token").to_pylist())
+        """Tokens and their ids, for the tasks, by id.  Only for checked sizes."""
+        rows = self.table.select("token", "id").toArrow().sort_by("id")
+        ids = rows.column("id").to_pylist()
+        if len(set(ids)) < len(ids):
+            raise ValueError("an id of a vocabulary must not occur twice")
+        return self.table.sparkSession.sparkContext.broadcast(dict(zip(rows.column("token").to_pylist(), ids)))
+
+    def frequent(self, limit: int) -> "Vocabulary":
+        """The entries of the first ``limit`` ids."""
+        return Vocabulary(self.table.where(F.col("id") < limit), limit)
 
 
 def _special_rows(spark: SparkSession) -> DataFrame:
@@ -63,77 +63,55 @@ def _special_rows(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.posexplode(named).alias("id", "token")).select("token", "id")
 
 
-def build_vocab(
-    df: DataFrame, *, text: str = "text", max_vocab: int | None = None, direct_rows: int = DIRECT_ROWS
-) -> Vocabulary:
+def build_vocab(df: DataFrame, *, text: str = "text", max_vocab: int | None = None) -> Vocabulary:
     """Rank tokens by (count desc, token) behind the special tokens.
 
     The counts are stored, as they are read more than once.  With ``max_vocab``
-    (special tokens included) only the top is ranked; where there are very many
-    tokens, those below the count at the cap are dropped first, so that not
-    every partition sends a whole top of its own.  Without a cap all distinct
-    tokens are ranked by a range partitioning.
+    (special tokens included) those below the count at the cap go first; the
+    rest, like all tokens without a cap, is ranked by a range partitioning.
     """
     words = df.select(F.explode(F.split(text, TOKEN_SEPARATOR)).alias("token"))
     # The empty word is none, and the special tokens have their ids already.
     counts = words.where(~F.col("token").isin("", *SPECIAL_TOKENS)).groupBy("token").agg(F.count("*").alias("n"))
     counts = stored(counts.select("token", (-F.col("n")).alias("minus_n")), "token-counts")
-    offset = len(SPECIAL_TOKENS)
-    special = _special_rows(df.sparkSession)
-    if max_vocab is None:
-        ranked = with_row_index(counts, order=["minus_n", "token"]).select(
-            "token", (F.col("row_idx") + offset).cast("int").alias("id")
-        )
-        return Vocabulary(stored(special.unionByName(ranked), "vocab"))
-    wanted = max(max_vocab - offset, 0)
-    if counts.count() > direct_rows:
-        counts = counts.where(F.col("minus_n") <= _count_at(counts, wanted))
-    top = counts.orderBy("minus_n", "token").limit(wanted)
-    rank = F.row_number().over(W.partitionBy(F.lit(0)).orderBy("minus_n", "token")) - 1
-    ranked = top.select("token", (rank + offset).cast("int").alias("id"))
-    return Vocabulary(special.unionByName(ranked), max_vocab)
+    wanted = None if max_vocab is None else max(max_vocab - len(SPECIAL_TOKENS), 0)
+    if wanted is not None:
+        counts = counts.where(F.col("minus_n") <= -_count_at(counts, wanted))
+    ranked = with_row_index(counts, order=["minus_n", "token"])
+    if wanted is not None:
+        # Tokens that tie at the cap are ranked with the others, then cut.
+        ranked = ranked.where(F.col("row_idx") < wanted)
+    ids = (F.col("row_idx") + len(SPECIAL_TOKENS)).cast("int")
+    table = _special_rows(df.sparkSession).unionByName(ranked.select("token", ids.alias("id")))
+    return Vocabulary(table, max_vocab) if max_vocab is not None else Vocabulary(stored(table, "vocab"))
 
 
 def _count_at(counts: DataFrame, place: int) -> int:
-    """The (negative) count of the token at a place of the ranking.
+    """The count of the token at a place of the ranking (from 1), by two levels
+    of a histogram: powers of two, at most 64, then the counts within one.
 
-    Few counts occur: their number grows with the square root of the corpus.
+    Counts within a power of two are cut to 4,096 ranges until one is left.
     """
-    upto = W.partitionBy(F.lit(0)).orderBy("minus_n").rowsBetween(W.unboundedPreceding, 0)
-    running = counts.groupBy("minus_n").agg(F.count("*").alias("c")).withColumn("upto", F.sum("c").over(upto))
-    return running.where(F.col("upto") >= place).agg(F.min("minus_n")).first()[0] or 0
-
-
-def _lookup(probe: DataFrame, vocab: Vocabulary, *, on: str, spread: Sequence[str], limit: int) -> DataFrame:
-    """Left join of ``probe`` with the vocabulary on ``token`` or ``id``.
-
-    A table within ``limit`` rows is broadcast.  Beyond it, the ``limit`` most
-    frequent entries are broadcast, and what they miss is joined by shuffle;
-    that part is salted, so one frequent unknown token cannot fill one task.
-    """
-    found = "id" if on == "token" else "token"
-    if vocab.rows() <= limit:
-        return probe.join(F.broadcast(vocab.table), on, "left")
-    common = vocab.table.where(F.col("id") < limit)
-    rare = vocab.table.where(F.col("id") >= limit)
-    first = probe.join(F.broadcast(common.withColumnRenamed(found, "_common")), on, "left")
-    open_ = F.col("_common").isNull()
-    scatter = F.hash(*spread)
-    first = first.select(
-        "*",
-        F.when(open_, F.col(on)).alias("_key"),
-        # Settled rows get salts that no copy carries, only to be spread.
-        F.when(open_, F.pmod(scatter, F.lit(SALTS)))
-        .otherwise(F.lit(SALTS) + F.pmod(scatter, F.lit(1 << 20)))
-        .alias("_salt"),
-    )
-    copies = rare.select(
-        F.col(on).alias("_key"),
-        F.col(found).alias("_rare"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
-    )
-    joined = first.join(copies, ["_key", "_salt"], "left")
-    return joined.withColumn(found, F.coalesce("_common", "_rare")).drop("_key", "_salt", "_common", "_rare")
+    level = F.length(F.bin(-F.col("minus_n")))
+    left = place
+    low, high = 0, 1 << 63
+    for row in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        if left <= row["count"]:
+            low, high = 1 << (row["level"] - 1), 1 << row["level"]
+            break
+        left -= row["count"]
+    else:
+        return 0  # fewer tokens than places: all of them
+    while high - low > 1:
+        width = -(-(high - low) // 4096)
+        inside = counts.where((F.col("minus_n") <= -low) & (F.col("minus_n") > -high))
+        cell = F.floor((-F.col("minus_n") - low) / F.lit(width)).cast("bigint") if width > 1 else -F.col("minus_n") - low
+        for row in sorted(inside.groupBy(cell.alias("cell")).count().collect(), reverse=True):
+            if left <= row["count"]:
+                low, high = low + row["cell"] * width, min(high, low + (row["cell"] + 1) * width)
+                break
+            left -= row["count"]
+    return low
 
 
 @dataclass(frozen=True)
@@ -157,29 +135,41 @@ def encode_fields(
 ) -> DataFrame:
     """Encode several text columns; returns the key, ``keep`` and the ids.
 
-    A vocabulary of at most ``broadcast_rows`` is handed to every task and the
-    texts are encoded where they are, with no shuffle.  A larger one is joined.
+    The texts are encoded where they are, with no shuffle: against the whole
+    vocabulary if it has at most ``broadcast_rows`` entries, else against its
+    frequent part.  What that misses is patched, and only misses are exchanged.
+    Rows stay as many as they are, whatever their keys.
     """
     key, keep = list(key), list(keep)
     if vocab.rows() <= broadcast_rows:
         shared = vocab.shared
         ids = [_encoder(shared, f.add_bos, f.add_eos)(f.text).alias(f.out) for f in fields]
         return df.select(*key, *keep, *ids)
-    return _encode_by_join(df, vocab, fields, key, keep, broadcast_rows)
+    shared = vocab.frequent(broadcast_rows).shared
+    first = [_encoder(shared, f.add_bos, f.add_eos, True)(f.text).alias(f"_e{i}") for i, f in enumerate(fields)]
+    rare = vocab.table.where(F.col("id") >= broadcast_rows).select(F.col("token").alias("key"), F.col("id").alias("value"))
+    patches = [Patch(f"_e{i}", f.out) for i, f in enumerate(fields)]
+    return patch_arrays(df.select(*key, *keep, *first), patches, rare, limit=broadcast_rows)
 
 
 # The two functions below travel to the tasks whole: what they call is defined
 # inside, so that workers need not have this package.
 
 
-def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool):
-    """Text to ids, a whole Arrow batch at a time."""
+def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool, misses: bool = False):
+    """Text to ids, a whole Arrow batch at a time; with ``misses`` also the place
+    and the word of each one that is not known."""
 
-    def encoded(texts: pa.Array, known: pa.Array) -> pa.Array:
+    def encoded(texts: pa.Array, known: dict[str, int]) -> pa.Array:
         pieces = pc.split_pattern_regex(pc.fill_null(texts, ""), TOKEN_SEPARATOR)
         words = pieces.flatten()
         real = pc.not_equal(words, "")
-        ids = pc.fill_null(pc.index_in(words.filter(real), value_set=known), UNK_ID).to_numpy()
+        words = words.filter(real).dictionary_encode()
+        # Each distinct word of a batch is looked up once.
+        distinct = words.dictionary.to_pylist()
+        of_word = np.fromiter((known.get(w, -1) for w in distinct), np.int32, len(distinct))
+        number = words.indices.to_numpy()
+        ids = of_word[number]
         # Where each text starts once empty words are gone and marks are added.
         kept = np.concatenate(([0], np.cumsum(real.to_numpy(zero_copy_only=False))))
         ends = kept[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()]
@@ -187,88 +177,63 @@ def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool):
         rows = np.arange(len(texts))
         offsets = ends + np.arange(len(texts) + 1) * marks
         out = np.empty(offsets[-1], dtype=np.int32)
-        out[np.arange(len(ids)) + np.repeat(rows * marks + int(add_bos), np.diff(ends))] = ids
+        places = np.arange(len(ids)) + np.repeat(rows * marks + int(add_bos), np.diff(ends))
+        out[places] = np.where(ids < 0, UNK_ID, ids)
         if add_bos:
             out[offsets[:-1]] = BOS_ID
         if add_eos:
             out[offsets[1:] - 1] = EOS_ID
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out))
-
-    @F.arrow_udf("array<int>")
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out))
+        if not misses:
+            return lists
+        unknown = np.flatnonzero(ids < 0)
+        starts = pa.array(np.searchsorted(unknown, ends), pa.int32())
+        place = places[unknown] - np.repeat(offsets[:-1], np.diff(ends))[unknown]
+        word = words.dictionary.take(pa.array(number[unknown]))
+        columns = [lists, pa.ListArray.from_arrays(starts, pa.array(place, pa.int32())), pa.ListArray.from_arrays(starts, word.cast(pa.string()))]
+        return pa.StructArray.from_arrays(columns, names=["values", "place", "key"])
+
+    @F.arrow_udf("struct<values:array<int>,place:array<int>,key:array<string>>" if misses else "array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = pa.array(shared.value, pa.string())
+        known = shared.value
         for texts in batches:
             yield encoded(texts, known)
 
     return ids_of
 
 
-def _decoder(shared: Broadcast):
-    """Ids to tokens, a whole Arrow batch at a time."""
+def _decoder(shared: Broadcast, misses: bool = False):
+    """Ids to tokens, a whole Arrow batch at a time; with ``misses`` also the
+    place and the id of each one that is not known."""
 
-    def decoded(lists: pa.Array, known: pa.Array) -> pa.Array:
-        ids = lists.flatten()
-        ignored = pc.equal(ids, IGNORE)
-        names = known.take(pc.if_else(ignored, 0, ids))
+    def decoded(lists: pa.Array, numbers: np.ndarray, names: pa.Array) -> pa.Array:
+        flat = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+        at = np.minimum(np.searchsorted(numbers, flat), max(len(numbers) - 1, 0))
+        known = numbers[at] == flat if len(numbers) else np.zeros(len(flat), bool)
+        ignored = flat == IGNORE
+        tokens = pc.if_else(pa.array(ignored), IGNORED_TEXT, names.take(pa.array(at, mask=~known)))
         # Null lists count as empty.
         lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-        offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
-        return pa.ListArray.from_arrays(offsets, pc.if_else(ignored, IGNORED_TEXT, names))
-
-    @F.arrow_udf("array<string>")
+        offsets = np.concatenate(([0], np.cumsum(lengths)))
+        out = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), tokens)
+        if not misses:
+            return out
+        unknown = np.flatnonzero(~known & ~ignored)
+        starts = pa.array(np.searchsorted(unknown, offsets), pa.int32())
+        place = unknown - np.repeat(offsets[:-1], lengths)[unknown]
+        columns = [out, pa.ListArray.from_arrays(starts, pa.array(place, pa.int32())), pa.ListArray.from_arrays(starts, pa.array(flat[unknown], pa.int32()))]
+        return pa.StructArray.from_arrays(columns, names=["values", "place", "key"])
+
+    @F.arrow_udf("struct<values:array<string>,place:array<int>,key:array<int>>" if misses else "array<string>")
     def tokens_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = pa.array(shared.value, pa.string())
+        numbers = np.fromiter(shared.value.values(), np.int64, len(shared.value))
+        names = pa.array(list(shared.value), pa.string())
         for lists in batches:
-            yield decoded(lists, known)
+            yield decoded(lists, numbers, names)
 
     return tokens_of
 
 
-def _encode_by_join(
-    df: DataFrame, vocab: Vocabulary, fields: Sequence[Field], key: list[str], keep: list[str], limit: int
-) -> DataFrame:
-    """Encoding against a vocabulary too large to hand out.
-
-    The texts are clustered by their unique key first: they are smaller than
-    their tokens, and the re-collection then needs no further shuffle but the
-    one of the tokens that the frequent part of the vocabulary misses.
-    """
-
-    def column(field: Field) -> Column:
-        return F.col(field.text) if isinstance(field.text, str) else field.text
-
-    texts = df.select(*key, *keep, *[column(f).alias(f"_t{i}") for i, f in enumerate(fields)])
-
-    def pieces_of(i: int) -> Column:
-        return F.transform(tokens(F.col(f"_t{i}")), lambda t: F.struct(F.lit(i).alias("field"), t.alias("token")))
-
-    parts = [pieces_of(i) for i in range(len(fields))]
-    pieces = F.concat(*[F.coalesce(p, F.array().cast("array<struct<field:int,token:string>>")) for p in parts])
-    exploded = (
-        texts.repartition(*key)
-        .select(*key, *keep, F.posexplode_outer(pieces).alias("_pos", "_piece"))
-        .select(*key, *keep, "_pos", "_piece.field", "_piece.token")
-    )
-    looked_up = _lookup(exploded, vocab, on="token", spread=[*key, "_pos"], limit=limit)
-    # Position and id share one bigint: half the bytes of a struct, and it
-    # sorts as a number.
-    packed = F.shiftleft(F.col("_pos").cast("bigint"), 32).bitwiseOR(
-        F.coalesce("id", F.lit(UNK_ID)).cast("bigint")
-    )
-    lists = [
-        F.sort_array(F.collect_list(F.when(F.col("field") == i, packed))).alias(f"_p{i}")
-        for i in range(len(fields))
-    ]
-    collected = looked_up.groupBy(*key).agg(*[F.first(c).alias(c) for c in keep], *lists)
-    ids = []
-    for i, f in enumerate(fields):
-        body = F.transform(f"_p{i}", lambda v: v.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-        ends = [F.array(F.lit(BOS_ID))] if f.add_bos else []
-        ends += [body] + ([F.array(F.lit(EOS_ID))] if f.add_eos else [])
-        ids.append(F.concat(*ends).alias(f.out))
-    return collected.select(*key, *keep, *ids)
-
-
 def encode(
     df: DataFrame,
     vocab: Vocabulary,
@@ -298,25 +263,27 @@ def decode(
     out: str = "tokens",
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Ids to token strings; the ignored label reads ``igx``.
+    """Ids to token strings; the ignored label reads ``igx``, an id that the
+    vocabulary lacks is null.
 
-    Returns the key and the array of tokens.
+    Returns the key and the array of tokens.  As with :func:`encode_fields`,
+    rows stay where they are, and only what a large vocabulary's frequent part
+    misses is exchanged.
     """
     key = list(key)
     if vocab.rows() <= broadcast_rows:
         return df.select(*key, _decoder(vocab.shared)(ids).alias(out))
-    exploded = df.select(*key, ids).repartition(*key).select(*key, F.posexplode_outer(ids).alias("_pos", "id"))
-    named = _lookup(exploded, vocab, on="id", spread=[*key, "_pos"], limit=broadcast_rows)
-    token = F.when(F.col("id") == IGNORE, IGNORED_TEXT).otherwise(F.col("token"))
-    pair = F.when(F.col("_pos").isNotNull(), F.struct("_pos", token.alias("token")))
-    collected = named.groupBy(*key).agg(F.sort_array(F.collect_list(pair)).alias("_p"))
-    return collected.select(*key, F.transform("_p", lambda p: p["token"]).alias(out))
+    first = df.select(*key, _decoder(vocab.frequent(broadcast_rows).shared, True)(ids).alias("_d"))
+    rare = vocab.table.where(F.col("id") >= broadcast_rows).select(F.col("id").alias("key"), F.col("token").alias("value"))
+    return patch_arrays(first, [Patch("_d", out)], rare, limit=broadcast_rows)
 
 
-def decode_text(df: DataFrame, vocab: Vocabulary, *, ids: str, key: Sequence[str], out: str = "text") -> DataFrame:
+def decode_text(
+    df: DataFrame, vocab: Vocabulary, *, ids: str, key: Sequence[str], out: str = "text", broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Ids to text.  Ignored labels count as id 0, as there is nothing to show."""
     shown = df.select(*key, F.transform(ids, lambda x: F.when(x == IGNORE, 0).otherwise(x)).alias(ids))
-    named = decode(shown, vocab, ids=ids, key=key)
+    named = decode(shown, vocab, ids=ids, key=key, broadcast_rows=broadcast_rows)
     return named.select(*key, F.array_join("tokens", " ").alias(out))
 
 

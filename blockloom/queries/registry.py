@@ -55,22 +55,22 @@ def digest(ids: Column) -> Column:
     return F.md5(F.array_join(ids.cast("array<string>"), ","))
 
 
-_vocabularies: dict[tuple[str, str], Vocabulary] = {}
+_vocabularies: dict[tuple[str, str, int | None], Vocabulary] = {}
 
 
-def vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
+def vocabulary(spark: SparkSession, folder: str, cap: int | None = VOCAB_ROWS) -> Vocabulary:
     """The vocabulary of a folder's documents, built once per application and
     stored, as a tokenizer is trained once and then loaded."""
-    known = (spark.sparkContext.applicationId, folder)
+    known = (spark.sparkContext.applicationId, folder, cap)
     if known not in _vocabularies:
-        built = trained_vocabulary(spark, folder)
+        built = trained_vocabulary(spark, folder, cap)
         _vocabularies[known] = Vocabulary(stored(built.table, "vocabulary"), built.max_rows)
     return _vocabularies[known]
 
 
-def trained_vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
+def trained_vocabulary(spark: SparkSession, folder: str, cap: int | None = VOCAB_ROWS) -> Vocabulary:
     docs = table(spark, folder, "documents").select("text")
-    return build_vocab(spread(docs), max_vocab=VOCAB_ROWS)
+    return build_vocab(spread(docs), max_vocab=cap)
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -132,7 +132,10 @@ def sql_tokens(text: str) -> str:
     return _TOKENS.format(text=text)
 
 
-SQL_VOCAB = f"""
+def sql_vocab(cap: int | None) -> str:
+    """The CTE ``vocab``; without a cap all words."""
+    cut = "" if cap is None else f"WHERE rn <= {cap - 4}"
+    return f"""
 words AS (SELECT unnest({sql_tokens('text')}) AS token FROM documents),
 counted AS (
   SELECT token, count(*) AS n FROM words
@@ -140,9 +143,12 @@ counted AS (
 vocab AS (
   SELECT token, CAST(rn + 3 AS INTEGER) AS id
   FROM (SELECT token, row_number() OVER (ORDER BY n DESC, token) AS rn FROM counted)
-  WHERE rn <= {VOCAB_ROWS - 4}
+  {cut}
   UNION ALL SELECT * FROM (VALUES ('<unk>', 0), ('<s>', 1), ('</s>', 2), ('<pad>', 3)) s(token, id))"""
 
+
+SQL_VOCAB = sql_vocab(VOCAB_ROWS)
+
 SQL_LINES = """
 lines AS (
   SELECT source, doc_id, CAST(i AS BIGINT) AS line_no, text,

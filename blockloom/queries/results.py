@@ -70,8 +70,11 @@ def token_logprob(spark: SparkSession, d: str) -> DataFrame:
     FROM pos JOIN vocab ON t = id""",
 )
 def text_offsets(spark: SparkSession, d: str) -> DataFrame:
-    placed = U.text_offsets(_positions(spark, d), vocabulary(spark, d))
-    return placed.select("request_id", "idx", "pos", "token", "text_offset")
+    placed = U.text_offsets(_choices(spark, d), vocabulary(spark, d))
+    each = F.posexplode(F.arrays_zip("tokens", "text_offset")).alias("pos", "_z")
+    return placed.select("request_id", "idx", each).select(
+        "request_id", "idx", "pos", F.col("_z.tokens").alias("token"), F.col("_z.text_offset").alias("text_offset")
+    )
 
 
 @query(
@@ -82,13 +85,13 @@ def text_offsets(spark: SparkSession, d: str) -> DataFrame:
     FROM r JOIN vocab USING (id) WHERE rn <= 2 GROUP BY request_id, idx, pos""",
 )
 def top_logprobs(spark: SparkSession, d: str) -> DataFrame:
-    top = U.top_logprobs(_positions(spark, d), vocabulary(spark, d), k=2)
-    total = F.aggregate(F.map_values("top_logprobs"), F.lit(0.0), lambda a, x: a + x)
-    return top.select(
+    top = U.top_logprobs(_with_logprobs(_choices(spark, d)), vocabulary(spark, d), k=2)
+    total = F.aggregate(F.map_values("top"), F.lit(0.0), lambda a, x: a + x)
+    return top.select("request_id", "idx", F.posexplode("top_logprobs").alias("pos", "top")).select(
         "request_id",
         "idx",
         "pos",
-        F.array_join(F.array_sort(F.map_keys("top_logprobs")), " ").alias("tokens"),
+        F.array_join(F.array_sort(F.map_keys("top")), " ").alias("tokens"),
         F.round(total, 6).alias("total"),
     )
 
@@ -128,25 +131,58 @@ def snapshot_delta(spark: SparkSession, d: str) -> DataFrame:
     return delta.select("request_id", "idx", "step", "text_offset", "delta_text", digest(F.col("delta_ids")).alias("ids_md5"))
 
 
+_RECORD = "text_offset array<bigint>, token_logprobs array<double>, tokens array<string>, top_logprobs array<map<string,double>>"
+
+
 @query(
     "assemble_outputs",
-    f"""WITH {SQL_PROMPTS}
+    f"""WITH {_CHOICES},{SQL_PROMPTS},
+    named AS (
+      SELECT request_id, idx, pos, t, token, coalesce(sum(length(token)) OVER (
+        PARTITION BY request_id, idx ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS text_offset
+      FROM pos JOIN vocab ON t = id),
+    best AS (
+      SELECT request_id, idx, pos, string_agg(token, ' ' ORDER BY token) AS alternatives, sum(lp) AS total
+      FROM alts JOIN vocab USING (id) GROUP BY request_id, idx, pos),
+    records AS (
+      SELECT request_id, idx, md5(string_agg(token, '|' ORDER BY pos)) AS tokens, sum(text_offset) AS offsets,
+        sum(-((t * 7 + pos) % 90) / 10.0::DOUBLE) AS own, md5(string_agg(alternatives, '|' ORDER BY pos)) AS alternatives, sum(total) AS total
+      FROM named JOIN best USING (request_id, idx, pos) GROUP BY request_id, idx)
     SELECT c.conv_id AS request_id, CAST(count(*) AS INTEGER) AS n, string_agg(md5(prompt || text), ',' ORDER BY turn) AS texts,
       string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) AS "index",
-      string_agg(CASE WHEN length(text) > 500 THEN 'length' ELSE 'stop' END, ',' ORDER BY turn) AS finish_reason
-    FROM conversations c JOIN prompts p USING (conv_id) WHERE role = 'assistant' GROUP BY c.conv_id""",
+      string_agg(CASE WHEN length(text) > 500 THEN 'length' ELSE 'stop' END, ',' ORDER BY turn) AS finish_reason,
+      string_agg(coalesce(tokens, md5('')), ',' ORDER BY turn) AS tokens,
+      string_agg(coalesce(alternatives, md5('')), ',' ORDER BY turn) AS alternatives,
+      CAST(coalesce(sum(offsets), 0) AS BIGINT) AS offsets, round(coalesce(sum(own), 0), 4) AS own, round(coalesce(sum(total), 0), 4) AS total
+    FROM conversations c JOIN prompts p USING (conv_id) LEFT JOIN records r ON r.request_id = c.conv_id AND r.idx = c.turn
+    WHERE role = 'assistant' GROUP BY c.conv_id""",
 )
 def assemble_outputs(spark: SparkSession, d: str) -> DataFrame:
+    """The logprobs are read back from the JSON of each choice."""
     asked = prompts(spark, d).withColumnRenamed("conv_id", "request_id")
     reason = F.when(F.length("text") > 500, "length").otherwise("stop")
-    rows = _answers(spark, d).join(asked, "request_id").withColumn("finish_reason", reason)
-    made = U.assemble_outputs(rows)
+    recorded = U.logprobs_record(_with_logprobs(_choices(spark, d)), vocabulary(spark, d))
+    rows = recorded.join(asked, "request_id").withColumn("finish_reason", reason)
+    made = U.assemble_outputs(rows).withColumn("read", F.transform("logprobs", lambda j: F.from_json(j, _RECORD)))
+    add = lambda total, x: total + x
+
+    def total(values, zero):
+        return F.aggregate(F.flatten(values), zero, add)
+
+    def named(top):
+        return F.array_join(F.transform(top, lambda m: F.array_join(F.array_sort(F.map_keys(m)), " ")), "|")
+
     return made.select(
         "request_id",
         F.size("text").alias("n"),
         F.array_join(F.transform("text", F.md5), ",").alias("texts"),
         F.array_join(F.col("index").cast("array<string>"), ",").alias("index"),
         F.array_join("finish_reason", ",").alias("finish_reason"),
+        F.array_join(F.transform("read", lambda r: F.md5(F.array_join(r["tokens"], "|"))), ",").alias("tokens"),
+        F.array_join(F.transform("read", lambda r: F.md5(named(r["top_logprobs"]))), ",").alias("alternatives"),
+        total(F.transform("read", lambda r: r["text_offset"]), F.lit(0).cast("bigint")).alias("offsets"),
+        F.round(total(F.transform("read", lambda r: r["token_logprobs"]), F.lit(0.0)), 4).alias("own"),
+        F.round(total(F.transform("read", lambda r: F.flatten(F.transform(r["top_logprobs"], F.map_values))), F.lit(0.0)), 4).alias("total"),
     )
 
 

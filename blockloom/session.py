@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Tables stored in buckets are joined as they lie, see operators/patching.py.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 #: Input per shuffle partition.

@@ -82,22 +82,67 @@ def test_vocab_order_and_cap(spark):
     full = V.build_vocab(df)
     want = [("<unk>", 0), ("<s>", 1), ("</s>", 2), ("<pad>", 3), ("a", 4), ("c", 5), ("b", 6)]
     assert [tuple(r) for r in full.table.orderBy("id").collect()] == want
-    for direct in (0, 100):
-        for cap in (3, 4, 5, 6, 7, 50):
-            capped = V.build_vocab(df, max_vocab=cap, direct_rows=direct)
-            assert [tuple(r) for r in capped.table.orderBy("id").collect()] == want[: max(cap, 4)]
+    for cap in (3, 4, 5, 6, 7, 50):
+        capped = V.build_vocab(df, max_vocab=cap)
+        assert [tuple(r) for r in capped.table.orderBy("id").collect()] == want[: max(cap, 4)]
     assert full.rows() == 7 and capped.rows() == 50
 
 
-@pytest.mark.parametrize("direct", (0, 10**6))
-def test_capped_ranking_equals_the_full_one(spark, direct):
+def test_capped_ranking_equals_the_full_one(spark):
     df = texts(spark, random_texts(n=40) + [f"rare{i}" for i in range(40)])
     full = [tuple(r) for r in V.build_vocab(df).table.orderBy("id").collect()]
     for cap in (10, 30, 50):
-        capped = V.build_vocab(df, max_vocab=cap, direct_rows=direct)
+        capped = V.build_vocab(df, max_vocab=cap)
         assert [tuple(r) for r in capped.table.orderBy("id").collect()] == full[:cap]
 
 
+def test_count_at_a_place(spark):
+    rng = random.Random(9)
+    for ns in ([1] * 50, [10**12, 5, 5, 1], [rng.randrange(1, 10**6) for _ in range(300)], [7]):
+        counts = spark.createDataFrame([(str(i), -n) for i, n in enumerate(ns)], "token string, minus_n bigint")
+        ranked = sorted(ns, reverse=True)
+        for place in {1, len(ns), len(ns) // 2 + 1, min(3, len(ns))}:
+            assert V._count_at(counts, place) == ranked[place - 1]
+        assert V._count_at(counts, len(ns) + 1) == 0
+
+
+def exchanged(df):
+    """What a plan exchanges: the columns of each exchange that is not a broadcast."""
+    tree = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in tree.splitlines() if "Exchange" in line and "Broadcast" not in line]
+
+
+@pytest.mark.parametrize("limit", (1_000_000, 1))
+def test_equal_keys_gaps_and_unknown_ids_behave_alike(spark, limit):
+    table = spark.createDataFrame([("<unk>", 0), ("a", 4), ("b", 17), ("rare", 900), ("rarer", 70_000)], "token string, id int")
+    vocab = V.Vocabulary(table)
+    df = spark.createDataFrame([(1, "a rare x", "p"), (1, "a rare x", "p"), (1, "b", "q"), (None, "rarer rarer", None), (2, None, "z")], "k int, text string, extra string")
+    rows = V.encode(df, vocab, key=["k"], keep=["extra"], add_bos=False, broadcast_rows=limit).collect()
+    assert sorted(map(repr, map(tuple, rows))) == sorted(
+        map(repr, [(1, "p", [4, 900, 0]), (1, "p", [4, 900, 0]), (1, "q", [17]), (None, None, [70_000, 70_000]), (2, "z", [])])
+    )
+    ids = spark.createDataFrame([(1, [900, -100, 5]), (1, [900, -100, 5]), (None, [70_000]), (3, None)], "k int, ids array<int>")
+    named = V.decode(ids, vocab, ids="ids", key=["k"], broadcast_rows=limit).collect()
+    assert sorted(map(repr, map(tuple, named))) == sorted(
+        map(repr, [(1, ["rare", "igx", None]), (1, ["rare", "igx", None]), (None, ["rarer"]), (3, [])])
+    )
+
+
+def test_only_misses_are_exchanged(spark):
+    df = texts(spark, random_texts(n=200)).repartition(3).withColumn("payload", F.lit("x" * 50))
+    vocab = V.build_vocab(texts(spark, random_texts(n=200)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = V.encode(df, vocab, key=["doc_id"], keep=["payload"], broadcast_rows=5)
+        out.collect()
+        plan = exchanged(out)
+        assert plan and not any("payload" in line or "_e0" in line for line in plan)
+        # Rows of the stored table meet their patches by the buckets they lie in.
+        assert sum("hashpartitioning(_part" in line for line in plan) == 1, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("partitions", PARTITIONS)
 def test_encode_in_place_and_by_join_agree(spark, partitions):
     values = random_texts() + ["", None, "  \n ", " hot  w1\nnever </s> ", "héllo 你好"]

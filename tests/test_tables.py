@@ -1,5 +1,6 @@
 """Collation, statistics, metrics, requests, results and vectors."""
 
+import json
 import math
 
 import pytest
@@ -132,11 +133,11 @@ def test_results(spark):
     df = spark.createDataFrame([("r", 0, [4, 5, 4], [{4: -1.0, 5: -2.0}, {5: -0.5}, {4: 0.0}])], RESULTS)
     positions = U.explode_positions(df)
     for limit in (1000, 2):
-        placed = U.text_offsets(positions, vocab, initial=7, broadcast_rows=limit).orderBy("pos").collect()
-        assert [(r["token"], r["text_offset"]) for r in placed] == [("aa", 7), ("b", 9), ("aa", 10)]
-        top = U.top_logprobs(positions, vocab, broadcast_rows=limit).orderBy("pos").collect()
-        assert top[0]["top_logprobs"] == {"aa": -1.0, "b": -2.0}
-    assert U.top_logprobs(positions, vocab, k=1).orderBy("pos").first()["top_logprobs"] == {"aa": -1.0}
+        placed = U.text_offsets(df, vocab, initial=7, broadcast_rows=limit).first()
+        assert (placed["tokens"], placed["text_offset"]) == (["aa", "b", "aa"], [7, 9, 10])
+        top = U.top_logprobs(df, vocab, broadcast_rows=limit).first()["top_logprobs"]
+        assert top == [{"aa": -1.0, "b": -2.0}, {"b": -0.5}, {"aa": 0.0}]
+    assert U.top_logprobs(df, vocab, k=1).first()["top_logprobs"][0] == {"aa": -1.0}
     assert [r["token_logprob"] for r in U.token_logprob(positions).orderBy("pos").collect()] == [-1.0, -0.5, 0.0]
     bad = spark.createDataFrame([("r", 0, [4], [{5: -1.0}])], RESULTS)
     with pytest.raises(Exception, match="no log-probability for token 4"):
@@ -145,6 +146,40 @@ def test_results(spark):
     assert probs == {4: pytest.approx(math.exp(-1)), 9: None}
 
 
+@pytest.mark.parametrize("limit", (1000, 2))
+def test_logprobs_record(spark, limit):
+    vocab = build_vocab(spark.createDataFrame([("aa aa b",)], "text string"))
+    rows = [
+        ("r", 0, [4, 5, 4], [{4: -1.0, 5: -2.0}, {5: -0.5}, {4: 0.0}]),
+        ("r", 1, [], []),
+        ("r", 2, [4], None),  # none asked for
+        ("r", 3, [5, 4], [{5: -1.0, 4: -1.0}]),  # as many as the shorter has
+        ("r", 3, None, [{5: -1.0}]),
+        (None, 4, [4, 4], [{4: -3.0}, {4: -4.0, 0: -9.0}]),
+    ]
+    df = spark.createDataFrame(rows, RESULTS).withColumns({"text": F.lit("t"), "prompt": F.lit("p"), "finish_reason": F.lit("stop")})
+    record = U.logprobs_record(df, vocab, broadcast_rows=limit)
+    got = {(r["request_id"], r["idx"], r["text"], len(r["token_ids"] or [])): r["logprobs"] and tuple(r["logprobs"]) for r in record.collect()}
+    assert got["r", 0, "t", 3] == ([0, 2, 3], [-1.0, -0.5, 0.0], ["aa", "b", "aa"], [{"aa": -1.0, "b": -2.0}, {"b": -0.5}, {"aa": 0.0}])
+    assert got["r", 1, "t", 0] == got["r", 3, "t", 0] == ([], [], [], [])
+    assert got["r", 2, "t", 1] is None
+    assert got["r", 3, "t", 2] == ([0], [-1.0], ["b"], [{"aa": -1.0, "b": -1.0}])
+    assert got[None, 4, "t", 2] == ([0, 2], [-3.0, -4.0], ["aa", "aa"], [{"aa": -3.0}, {"aa": -4.0, "<unk>": -9.0}])
+    made = U.assemble_outputs(record.where("request_id = 'r' and idx in (0, 2)")).first()
+    assert json.loads(made["logprobs"][0])["text_offset"] == [0, 2, 3] and made["logprobs"][1] is None
+    bad = spark.createDataFrame([("r", 0, [4], [{5: -1.0}])], RESULTS)
+    with pytest.raises(Exception, match="no log-probability for token 4"):
+        U.logprobs_record(bad, vocab, broadcast_rows=limit).collect()
+    assert U.logprobs_record(df.limit(0), vocab, broadcast_rows=limit).collect() == []
+
+
+def test_results_exchange_no_token_rows(spark):
+    vocab = build_vocab(spark.createDataFrame([("aa aa b",)], "text string"))
+    df = spark.createDataFrame([("r", 0, [4, 5, 4], [{4: -1.0, 5: -2.0}, {5: -0.5}, {4: 0.0}])], RESULTS)
+    plan = U.logprobs_record(df, vocab)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan and "Window" not in plan
+
+
 def test_snapshots(spark):
     rows = [("r", 0, 0, "He", [1]), ("r", 0, 1, "Hello", [1, 2]), ("r", 0, 2, "Hello", [1, 2])]
     df = spark.createDataFrame(rows, "request_id string, idx int, step int, text string, token_ids array<int>")
