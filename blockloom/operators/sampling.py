@@ -22,6 +22,8 @@ from blockloom.operators.rows import align_schema, with_row_index
 
 #: Fixed value: the seed of every sampling step unless told otherwise.
 SEED = 1234
+#: Rows per partition where rows are placed anew.
+PART_ROWS = 1_000_000
 #: Up to this many groups, a table of one row per group is broadcast.
 FEW_GROUPS = 100_000
 
@@ -189,15 +191,10 @@ def mix(
     )
 
 
-def split(df: DataFrame, *, test: float | int | None, key: Sequence[str], seed: int = SEED) -> DataFrame:
-    """Add ``split``: exactly the wanted share or number of rows is ``test``,
-    the rest ``train``; without a wish all rows are ``train``.
-
-    The key must tell repeated rows apart (include ``copy_no``).
-    """
+def _test_rows(n: int, test: float | int | None) -> int:
+    """How many of ``n`` rows are ``test``."""
     if test is None:
-        return df.withColumn("split", F.lit("train"))
-    n = df.count()
+        return 0
     if isinstance(test, float):
         if not 0 < test < 1:
             raise ValueError(f"a test share must lie between 0 and 1, not {test}")
@@ -206,10 +203,57 @@ def split(df: DataFrame, *, test: float | int | None, key: Sequence[str], seed:
         k = test
     if not 0 < k < n:
         raise ValueError(f"{k} test rows out of {n} leave one side empty")
-    flagged = _flag_whole(df, list(key), seed, k)
+    return k
+
+
+def split(df: DataFrame, *, test: float | int | None, key: Sequence[str], seed: int = SEED) -> DataFrame:
+    """Add ``split``: exactly the wanted share or number of rows is ``test``,
+    the rest ``train``; without a wish all rows are ``train``.
+
+    The key must tell repeated rows apart (include ``copy_no``).
+    """
+    if test is None:
+        return df.withColumn("split", F.lit("train"))
+    flagged = _flag_whole(df, list(key), seed, _test_rows(df.count(), test))
     return flagged.withColumn("split", F.when(F.col("_in"), "test").otherwise("train")).drop("_in")
 
 
+def split_and_shuffle(
+    df: DataFrame, *, test: float | int | None, key: Sequence[str], seed: int = SEED, out: str = "place", part_rows: int = PART_ROWS
+) -> DataFrame:
+    """:func:`split` and :func:`shuffle` of each side, with one exchange of the rows.
+
+    Both follow the same seeded hash, so one rank gives the split (the first
+    rows are ``test``) and the place in it.  Ranks are the counts of the hash's
+    65,536 buckets summed up, from the keys alone, and the place in the bucket.
+    The counts also say which buckets make a partition of about ``part_rows``
+    rows.  Rows lie in rank order, within and across partitions.
+    """
+    key = list(key)
+    hashed = seeded_hash(key, seed)
+    buckets = sorted(tuple(r) for r in df.select(hash_bucket(hashed).alias("_b")).groupBy("_b").count().collect())
+    n = sum(c for _, c in buckets)
+    k = _test_rows(n, test)
+    spark = df.sparkSession
+    rows = max(1, min(part_rows, math.ceil(n / int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    table, base = [], 0
+    for bucket, count in buckets:
+        table.append((bucket, base, base // rows))
+        base += count
+    parts = table[-1][2] + 1 if table else 1
+    # At most 65,536 rows, whatever the input.
+    places = F.broadcast(spark.createDataFrame(table, "_b string, _base bigint, _part int"))
+    marked = df.withColumn("_h", hashed).withColumn("_b", hash_bucket(F.col("_h"))).join(places, "_b")
+    inside = W.partitionBy("_part", "_b").orderBy("_h", *key)
+    ranked = marked.repartitionById(parts, F.col("_part")).withColumn("_rank", F.col("_base") + F.row_number().over(inside) - 1)
+    is_test = F.col("_rank") < k
+    return ranked.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.when(is_test, "test").otherwise("train").alias("split"),
+        (F.col("_rank") - F.when(is_test, 0).otherwise(k)).cast("bigint").alias(out),
+    )
+
+
 def leaked_copies(df: DataFrame, *, key: Sequence[str]) -> DataFrame:
     """How many rows have copies on both sides of the split.
 

@@ -13,11 +13,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.functions.hashing import seeded_hash
 from blockloom.operators.instruct import END_TOKENS, instruction_examples
 from blockloom.operators.packing import copy_labels, pack_blocks, with_scope
-from blockloom.operators.rows import with_row_index
-from blockloom.operators.sampling import SEED, check_weight, mix, split
+from blockloom.operators.sampling import SEED, check_weight, mix, split_and_shuffle
 from blockloom.operators.vocab import Vocabulary, encode
 from blockloom.sources.readers import Source, load_source, read_instructions
 from blockloom.sources.writers import materialize_once, write_corpus, write_provenance
@@ -75,20 +73,19 @@ def merge_sources(
 ) -> DataFrame:
     """Mix, split and shuffle stored sources, told apart by ``source``.
 
-    ``place`` is the row's place in the shuffled order of its split.
+    ``place`` is the row's place in the shuffled order of its split.  Mixing is a
+    filter, so that the rows are exchanged once.
     """
     mixed = mix(stored_sources, weights, key=["source", *key], seed=seed)
-    whole = ["source", *key, "copy_no"]
-    parted = split(mixed, test=test, key=whole, seed=seed)
-    hashed = parted.withColumn("_h", seeded_hash(whole, seed))
-    return with_row_index(hashed, by=["split"], order=["_h", *whole], out="place", total="_n").drop("_h", "_n")
+    return split_and_shuffle(mixed, test=test, key=["source", *key, "copy_no"], seed=seed)
 
 
 def _finish(
     spark: SparkSession, single: DataFrame, weights: dict, out_dir: str, facts: dict, *, key, test, seed: int
 ) -> DataFrame:
     merged = merge_sources(single, weights, key=key, test=test, seed=seed)
-    write_corpus(merged.select(F.col("place").alias("row_idx"), "input_ids", "labels", "split"), f"{out_dir}/merged")
+    rows = merged.select(F.col("place").alias("row_idx"), "input_ids", "labels", "split")
+    write_corpus(rows, f"{out_dir}/merged", placed=True)
     write_provenance(spark, f"{out_dir}/provenance", facts | {"weights": weights, "test": str(test), "seed": seed})
     return merged
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from blockloom.operators import sampling as M
 from blockloom.queries.registry import query, table
+from blockloom.session import scratch_path
+from blockloom.sources import load_corpus, write_corpus
 
 # The weights of the mixed sources; the others count once.
 WEIGHTS = {"src0": 0.05, "src1": 0.5, "src2": 3.0, "src3": 2.0, "src4": 0.999}
@@ -92,6 +94,24 @@ def split_none(spark: SparkSession, d: str) -> DataFrame:
     return M.split(_docs(spark, d), test=None, key=["doc_id"]).select("doc_id", "split")
 
 
+@query(
+    "split_and_shuffle",
+    f"""WITH {_SQL_MIX},
+    r AS (SELECT *, row_number() OVER (ORDER BY md5('1234:' || source || ':' || doc_id || ':' || copy_no)) - 1 AS rn,
+            CAST(ceil(count(*) OVER () * 0.05::DOUBLE) AS BIGINT) AS k FROM mixed)
+    SELECT source, doc_id, CAST(copy_no AS INTEGER) AS copy_no, CASE WHEN rn < k THEN 'test' ELSE 'train' END AS split,
+      CAST(rn - CASE WHEN rn < k THEN 0 ELSE k END AS BIGINT) AS place, md5(text) AS text_md5 FROM r""",
+)
+def split_and_shuffle(spark: SparkSession, d: str) -> DataFrame:
+    """Mixed, split and shuffled documents, written as they lie and read back."""
+    placed = M.split_and_shuffle(mixed_docs(spark, d), test=0.05, key=["source", "doc_id", "copy_no"])
+    folder = scratch_path(spark, "shuffled")
+    write_corpus(placed, folder, order="place", placed=True)
+    sides = [load_corpus(spark, folder, side).withColumn("split", F.lit(side)) for side in ("train", "test")]
+    both = sides[0].unionByName(sides[1])
+    return both.select("source", "doc_id", "copy_no", "split", "place", F.md5("text").alias("text_md5"))
+
+
 @query(
     "leaked_copies",
     f"""WITH {_SQL_MIX},

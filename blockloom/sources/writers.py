@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -55,12 +56,36 @@ def materialize_once(
     return spark.read.parquet(data)
 
 
-def write_corpus(df: DataFrame, folder: str, *, order: str = "row_idx", file_rows: int = FILE_ROWS) -> None:
+def write_corpus(df: DataFrame, folder: str, *, order: str = "row_idx", file_rows: int = FILE_ROWS, placed: bool = False) -> None:
     """Write ``train/`` and ``test/``, the latter empty without a split.
 
-    Files follow each other in row order, in parallel.
+    One write for both, files following each other in row order.  Rows that
+    :func:`split_and_shuffle` has ``placed`` are written as they lie; others are
+    ranged by split and order first.  The folders are put in place when both are
+    complete (by renaming, which object stores do by copying).
     """
+    spark = df.sparkSession
+    ordered = df if placed else df.repartitionByRange("split", order)
+    writing = f"{folder}/_writing-{uuid.uuid4().hex}"
+    write = ordered.sortWithinPartitions("split", order).write.partitionBy("split").option("maxRecordsPerFile", file_rows)
+    write.parquet(writing)
     for split in ("train", "test"):
-        part = df.where(F.col("split") == split).drop("split")
-        ordered = part.repartitionByRange(order).sortWithinPartitions(order)
-        ordered.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(f"{folder}/{split}")
+        if not _move(spark, f"{writing}/split={split}", f"{folder}/{split}"):
+            spark.createDataFrame([], df.drop("split").schema).write.mode("overwrite").parquet(f"{folder}/{split}")
+    _path(spark, writing)[1].delete(_path(spark, writing)[0], True)
+
+
+def _path(spark: SparkSession, path: str) -> tuple:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+
+
+def _move(spark: SparkSession, source: str, target: str) -> bool:
+    """Put a folder in another's place, if there is one to put."""
+    (old, files), (new, _) = _path(spark, source), _path(spark, target)
+    if not files.exists(old):
+        return False
+    files.delete(new, True)
+    if not files.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+    return True

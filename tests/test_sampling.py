@@ -111,8 +111,47 @@ def test_split(spark, partitions, test, n_test):
 
 @pytest.mark.parametrize("test", (0, 10, 11, 0.0, 1.0, 1.5))
 def test_split_must_leave_both_sides(spark, test):
-    with pytest.raises(ValueError):
-        M.split(keyed(spark, 10), test=test, key=["k"])
+    for function in (M.split, M.split_and_shuffle):
+        with pytest.raises(ValueError):
+            function(keyed(spark, 10), test=test, key=["k"])
+
+
+@pytest.mark.parametrize("partitions", PARTITIONS)
+@pytest.mark.parametrize("test, n_test", ((0.05, 11), (100, 100), (None, 0)))
+def test_split_and_shuffle(spark, partitions, test, n_test):
+    out = M.split_and_shuffle(keyed(spark, 211, partitions), test=test, key=["k"], part_rows=10)
+    ranked = by_hash(range(211))
+    want = [("test", i, k) for i, k in enumerate(ranked[:n_test])] + [("train", i, k) for i, k in enumerate(ranked[n_test:])]
+    assert sorted((r["split"], r["place"], r["k"]) for r in out.collect()) == want
+    # Rows lie in rank order across partitions.
+    assert [r["k"] for r in out.collect()] == ranked
+    assert {r["text"] for r in out.collect()} == {r["text"] for r in keyed(spark, 211).collect()}
+
+
+def test_split_and_shuffle_exchanges_rows_once(spark, tmp_path):
+    sources = keyed(spark, 300, 4).withColumn("source", F.concat(F.lit("s"), F.col("k") % 3)).withColumn("payload", F.repeat(F.lit("x"), 40))
+    mixed = M.mix(sources, {"s0": 0.5, "s1": 1, "s2": 2}, key=["k"])
+    placed = M.split_and_shuffle(mixed, test=0.1, key=["source", "k", "copy_no"])
+    placed.collect()
+    plan = placed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    moved = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+    assert len([line for line in moved if "_part" in line]) == 1
+    # What else is exchanged belongs to the cuts of the mix, which never hold the payload.
+    for line in plan.splitlines():
+        assert not ("Exchange" in line and "Broadcast" not in line and "_part" not in line and "payload" in line)
+    from blockloom.sources import load_corpus, write_corpus
+
+    write_corpus(placed.withColumnRenamed("place", "row_idx"), str(tmp_path / "c"), placed=True)
+    write_corpus(placed.withColumnRenamed("place", "row_idx"), str(tmp_path / "d"))
+    want = {(r["split"], r["place"], r["k"], r["copy_no"]) for r in placed.collect()}
+    for folder in ("c", "d"):
+        for split in ("train", "test"):
+            files = sorted((tmp_path / folder / split).glob("*.parquet"))
+            read = [r["row_idx"] for f in files for r in spark.read.parquet(str(f)).collect()]
+            assert read == list(range(len(read)))  # files in order, and rows in them
+            rows = load_corpus(spark, str(tmp_path / folder), split).collect()
+            assert {(split, r["row_idx"], r["k"], r["copy_no"]) for r in rows} == {w for w in want if w[0] == split}
+        assert sorted(p.name for p in (tmp_path / folder).iterdir()) == ["test", "train"]
 
 
 def test_copies_can_leak(spark):
