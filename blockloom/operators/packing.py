@@ -114,12 +114,62 @@ def pack_blocks(
         .cast("bigint")
         .alias("_kept"),
     )
+    return _joined(placed, scope, ids, block_size, keep_tail)
+
+
+def _joined(placed: DataFrame, scope: list[str], ids: str, block_size: int, keep_tail: bool = False) -> DataFrame:
+    """Rows with their offsets to blocks."""
     fragments = placed.select(*scope, F.explode(_fragments(block_size, ids, keep_tail)).alias("_f"))
     fragments = fragments.select(*scope, "_f.block", F.struct("_f.low", "_f.part").alias("_piece"))
     blocks = fragments.groupBy(*scope, "block").agg(F.sort_array(F.collect_list("_piece")).alias("_pieces"))
     return blocks.select(*scope, "block", F.flatten(F.transform("_pieces", lambda p: p["part"])).alias(ids))
 
 
+def pack_arrivals(
+    df: DataFrame, carried: DataFrame, *, block_size: int, scope: Sequence[str], order: Sequence[str], ids: str = "input_ids"
+) -> tuple[DataFrame, DataFrame]:
+    """Pack what has arrived behind what earlier arrivals left over.
+
+    ``carried`` holds, per scope, ``n_blocks`` (blocks made so far) and ``tail``
+    (fewer tokens than a block).  Returns the new complete blocks, numbered on,
+    and what is carried next, scopes without arrivals included.
+    """
+    scope, order = list(scope), list(order)
+    rows = stored(df.select(*scope, *order, ids), "arrived-rows")
+    length = F.size(ids).cast("bigint")
+    placed = running_total(rows, order=order, by=scope, value=length, start="_start", total="_total")
+    zero = F.lit(0).cast("bigint")
+    # One row a scope, never more tokens than a block in it.
+    before = carried.select(*scope, F.size("tail").cast("bigint").alias("_carried"))
+    moved = placed.where(length > 0).join(before, scope, "left").withColumn("_carried", F.coalesce("_carried", zero))
+    new = moved.select(
+        *scope,
+        ids,
+        (F.col("_start") + F.col("_carried")).alias("_start"),
+        (F.col("_start") + F.col("_carried") + length).alias("_end"),
+        (F.col("_total") + F.col("_carried")).alias("_total"),
+    )
+    totals = rows.groupBy(*scope).agg(F.sum(length).alias("_new"))
+    old = carried.join(totals, scope).where((F.size("tail") > 0) & (F.col("_new") > 0))
+    size = F.size("tail").cast("bigint")
+    head = old.select(*scope, F.col("tail").alias(ids), zero.alias("_start"), size.alias("_end"), (size + F.col("_new")).alias("_total"))
+    whole = new.unionByName(head).withColumn("_kept", F.col("_total"))
+    packed = stored(_joined(whole, scope, ids, block_size), "arrived-blocks")
+    full = F.size(ids) == block_size
+    made = packed.groupBy(*scope).agg(F.count_if(full).alias("_made"), F.max(F.when(~full, F.col(ids))).alias("_left"))
+    numbers = carried.select(*scope, F.col("n_blocks").alias("_before"))
+    blocks = packed.where(full).join(numbers, scope, "left").select(
+        *scope, (F.col("block") + F.coalesce("_before", zero)).alias("block"), ids
+    )
+    nothing = F.array().cast(packed.schema[ids].dataType)
+    after = carried.join(made, scope, "full").select(
+        *scope,
+        (F.coalesce("n_blocks", zero) + F.coalesce("_made", zero)).alias("n_blocks"),
+        F.when(F.col("_made").isNull(), F.col("tail")).otherwise(F.coalesce("_left", nothing)).alias("tail"),
+    )
+    return blocks, after
+
+
 def copy_labels(df: DataFrame, *, ids: str = "input_ids") -> DataFrame:
     """Labels equal to the ids, as 32-bit integers."""
     return df.withColumn("labels", F.col(ids).cast("array<int>"))

@@ -16,6 +16,7 @@ from blockloom.plans import build_instruction_corpus
 from blockloom.queries.instruct import sql_truncated
 from blockloom.queries.packing import SCOPE, SQL_SCOPED, scoped_blocks, sql_pack
 from blockloom.queries.registry import (
+    BLOCK,
     MAX_LEN,
     MAX_TARGET,
     SQL_ENCODED_LINES,
@@ -28,7 +29,7 @@ from blockloom.queries.registry import (
 )
 from blockloom.session import scratch_path, stored
 from blockloom.sources import load_corpus
-from blockloom.streaming import incremental_sources
+from blockloom.streaming import incremental_blocks, incremental_instructions, incremental_sources, open_tails
 
 
 @query(
@@ -67,6 +68,51 @@ def incremental(spark: SparkSession, d: str) -> DataFrame:
     return done.groupBy(digest(F.col("input_ids")).alias("ids_md5")).agg(F.count("*").alias("n"))
 
 
+@query(
+    "incremental_blocks",
+    f"""WITH {SQL_ENCODED_LINES},{sql_pack('enc', 'source', 'row_idx')}
+    SELECT source, block, CAST(len(input_ids) AS INTEGER) AS n_ids, {sql_digest('input_ids')} AS ids_md5 FROM blocks""",
+)
+def arriving_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Every source arrives in two parts; its blocks are those of one stream."""
+    root = scratch_path(spark, "arriving-blocks")
+    vocab = vocabulary(spark, d)
+    docs = table(spark, d, "documents").select("source", "doc_id", "text")
+    half = docs.agg(F.avg("doc_id")).first()[0]
+    found = None
+    for part in (F.col("doc_id") <= half, F.col("doc_id") > half):
+        # Ranged, so that a source is written in order by as many tasks as it takes.
+        ordered = docs.where(part).repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id")
+        ordered.drop("doc_id").write.mode("append").partitionBy("source").text(f"{root}/in")
+        found = incremental_blocks(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", vocab, block_size=BLOCK)
+    blocks = open_tails(spark, f"{root}/out", short=True).unionByName(found)
+    return blocks.select(
+        F.substring("source", 8, 100).alias("source"), "block", F.size("input_ids").alias("n_ids"), digest(F.col("input_ids")).alias("ids_md5")
+    )
+
+
+@query(
+    "incremental_instructions",
+    f"""WITH {sql_truncated('head_tail', END_TOKENS)},
+    ex AS (SELECT list_concat(source_ids, target_ids) AS input_ids,
+             list_concat(list_transform(source_ids, lambda x: -100), target_ids) AS labels FROM cut)
+    SELECT {sql_digest('input_ids')} AS ids_md5, {sql_digest('labels')} AS labels_md5, CAST(count(*) AS BIGINT) AS n FROM ex GROUP BY 1, 2""",
+)
+def arriving_instructions(spark: SparkSession, d: str) -> DataFrame:
+    """Half of the conversations arrive as JSON, then the others."""
+    root = scratch_path(spark, "arriving-instructions")
+    rows = instructions(spark, d)
+    found = None
+    for half in (0, 1):
+        part = rows.where(F.col("conv_id") % 2 == half).select("instruction", "input", "output")
+        part.write.mode("append").option("ignoreNullFields", "false").json(f"{root}/in")
+        found = incremental_instructions(
+            spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", vocabulary(spark, d), max_len=MAX_LEN, max_target=MAX_TARGET
+        )
+    ids, labels = digest(F.col("input_ids")).alias("ids_md5"), digest(F.col("labels")).alias("labels_md5")
+    return found.groupBy(ids, labels).agg(F.count("*").alias("n"))
+
+
 # The weights of the flagship mix; the other sources count once.
 MIX = {"src0": 0.25, "src1": 3.0, "src2": 2.0}
 

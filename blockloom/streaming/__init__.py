@@ -1,5 +1,5 @@
 """Structured Streaming jobs."""
 
-from blockloom.streaming.incremental import incremental_sources
+from blockloom.streaming.incremental import incremental_blocks, incremental_instructions, incremental_sources, open_tails
 
-__all__ = ["incremental_sources"]
+__all__ = ["incremental_blocks", "incremental_instructions", "incremental_sources", "open_tails"]

@@ -1,6 +1,7 @@
 """Files, stored results, streaming, whole corpora."""
 
 import json
+import random
 
 import pandas as pd
 import pytest
@@ -211,6 +212,72 @@ def test_incremental(spark, tmp_path):
     assert sorted(r["input_ids"] for r in done.collect()) == [[1, 4, 5, 2], [1, 6, 2]]
 
 
+def test_arriving_blocks(spark, tmp_path):
+    """Any cut of the files into arrivals gives the blocks of one run, also when a micro-batch is repeated."""
+    rng = random.Random(3)
+    vocab = build_vocab(spark.createDataFrame([("a b c d",)], "text string"))
+    lines = {s: [" ".join(rng.choice("abcd") for _ in range(rng.randrange(6))) for _ in range(n)] for s, n in (("x", 30), ("y", 7), ("z", 1))}
+    ids = {"a": 4, "b": 5, "c": 6, "d": 7}
+    want = {}
+    for source, texts in lines.items():
+        stream = [i for t in texts for i in [1, *[ids[w] for w in t.split()], 2]]
+        cut = [stream[i : i + 8] for i in range(0, len(stream) - len(stream) % 8, 8)] or [stream]
+        want |= {(source, i): block for i, block in enumerate(cut)}
+
+    from blockloom.streaming import incremental, incremental_blocks, open_tails
+
+    arrived, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    shares = {"x": (0, 11, 11, 30), "y": (0, 2, 7, 7), "z": (0, 0, 0, 1)}
+    failing = {1}
+    write = incremental.pack_arrivals
+
+    def fails_once(*args, **options):
+        blocks, carried = write(*args, **options)
+        if len(failing) == 1 and (tmp_path / "out" / "carried" / "version=0").exists():
+            # The blocks are written, the state is not.
+            blocks.write.mode("overwrite").parquet(f"{out}/blocks/batch={failing.pop()}")
+            raise RuntimeError("lost")
+        return blocks, carried
+
+    incremental.pack_arrivals = fails_once
+    try:
+        for n in range(3):
+            for source, edges in shares.items():
+                part = lines[source][edges[n] : edges[n + 1]]
+                if part:
+                    (tmp_path / "in" / source).mkdir(parents=True, exist_ok=True)
+                    (tmp_path / "in" / source / f"{n}.txt").write_text("".join(t + "\n" for t in part))
+            try:
+                found = incremental_blocks(spark, arrived, out, state, vocab, block_size=8)
+            except Exception:
+                found = incremental_blocks(spark, arrived, out, state, vocab, block_size=8)
+    finally:
+        incremental.pack_arrivals = write
+    assert not failing
+    rows = found.unionByName(open_tails(spark, out, short=True)).collect()
+    assert {(r["source"], r["block"]): r["input_ids"] for r in rows} == want and len(rows) == len(want)
+    carried = {r["source"]: (r["n_blocks"], len(r["tail"])) for r in open_tails(spark, out).collect()}
+    assert set(carried) == {"x", "y", "z"} and all(n < 8 for _, n in carried.values())
+    assert sorted(p.name for p in (tmp_path / "out" / "carried").iterdir()) == ["version=1", "version=2"]
+
+
+def test_arriving_instructions(spark, tmp_path):
+    from blockloom.streaming import incremental_instructions
+
+    arrived, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    (tmp_path / "in").mkdir()
+    vocab = build_vocab(spark.createDataFrame([("one two o",)], "text string"))
+    assert incremental_instructions(spark, arrived, out, state, vocab) is None
+    row = {"instruction": "one", "input": None, "output": "o"}
+    (tmp_path / "in" / "a.json").write_text(json.dumps([row, row]))
+    (tmp_path / "in" / "empty.json").write_text("")
+    assert incremental_instructions(spark, arrived, out, state, vocab).count() == 2
+    (tmp_path / "in" / "b.jsonl").write_text(json.dumps(row | {"input": "two"}) + "\n")
+    done = incremental_instructions(spark, arrived, out, state, vocab).collect()
+    assert len(done) == 3 and all(r["labels"][-2:] == [6, 2] or r["labels"][-1] == 2 for r in done)
+    assert len({tuple(r["input_ids"]) for r in done}) == 2
+
+
 def test_pretraining_corpus(spark, tmp_path):
     (tmp_path / "x.txt").write_text("".join(f"a b c {i}\n" for i in range(100)))
     (tmp_path / "y.jsonl").write_text("".join(json.dumps({"text": "a b"}) + "\n" for _ in range(50)))
