@@ -5,9 +5,9 @@ character on, blanks included. One hash orders the set, and
 its range is cut into ``BANDS`` stretches: from each stretch's first hash the
 ``ROWS`` next ones, the range taken as a circle, make a band. Each of them is
 the same in two sets with the probability of their Jaccard similarity. Lines
-that share a band are compared: first by parity signatures, whose differing bits
-are a lower bound of the sets' difference, then on the whole sets. Linked lines
-are joined by distributed union-find, and of each component the first line stays.
+that share a band and whose sets are of like size are compared as whole sets.
+Linked lines are joined by distributed union-find, and of each component the
+first line stays.
 
 Only DataFrame functions are used; no row leaves the JVM.
 """
@@ -15,6 +15,7 @@ Only DataFrame functions are used; no row leaves the JVM.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from blockloom.llm.common import keep, release, same, sent, text_key
@@ -22,9 +23,10 @@ from blockloom.llm.components import components, first_pairs, remaining_pairs
 from blockloom.llm.quality import let
 
 SHINGLE = 5
-#: Stretches are told by the hash's three leading bits. Similarity 0.8 is found
-#: with probability 1 - (1 - 0.8**3)**8 > 0.996, 0.9 with more than 0.9999.
-BANDS, ROWS = 8, 3
+#: Stretches are told by the hash's four leading bits. Similarity 0.8 is found with
+#: probability 1 - (1 - 0.8**5)**16 > 0.998, 0.9 with more than 0.9999; lines of a
+#: fifth, as most of one language have, meet with 0.005.
+BANDS, ROWS = 16, 5
 SIMILAR = 80
 #: Shorter lines are compared whole, if they take part: a set of so few shingles is no measure of likeness.
 MIN_CHARS = 20
@@ -49,46 +51,41 @@ def _shingles(line: str) -> Column:
 
 
 def _with_bands(lines: DataFrame) -> DataFrame:
-    """``bands``: the keys of the sorted set ``shingles``, one of each stretch that
-    has a hash. Steps are columns of their own, so that they are compiled."""
+    """``n``, the size of the sorted set ``shingles``, and ``bands``: its keys, one of
+    each stretch that has a hash. Steps are columns of their own, so that they are compiled."""
     own = [c for c in lines.columns if c != "shingles"]
-    limits = [F.lit((b - BANDS // 2) << 61) for b in range(BANDS)]
+    limits = [F.lit((b - BANDS // 2) * (2**64 // BANDS)) for b in range(BANDS)]
     # the stretches' limits sorted in among the hashes: a limit's place less those before it is its stretch's beginning
-    out = lines.withColumn("among", F.sort_array(F.concat(F.col("shingles"), F.array(*limits)))).withColumn(f"at{BANDS}", F.size("shingles") + 1)
+    out = lines.withColumn("among", F.sort_array(F.concat(F.col("shingles"), F.array(*limits)))).withColumn("n", F.size("shingles"))
     for b in range(BANDS):
         out = out.withColumn(f"at{b}", (F.array_position("among", limits[b]) - b).cast("int"))
+    out = out.withColumn(f"at{BANDS}", F.col("n") + 1).withColumn("circle", F.concat("shingles", F.slice("shingles", 1, ROWS - 1)))
 
     def key(b: int) -> Column:
         at = F.col(f"at{b}")
-        return F.when(at < F.col(f"at{b + 1}"), F.xxhash64(F.lit(b), *(F.get("shingles", (at - 1 + r) % F.size("shingles")) for r in range(ROWS))))
+        return F.when(at < F.col(f"at{b + 1}"), F.xxhash64(F.lit(b), F.slice("circle", at, F.lit(ROWS))))
 
-    return out.select(*own, F.array_compact(F.array(*map(key, range(BANDS)))).alias("bands"))
-
-
-def _parities(shingles: str) -> Column:
-    """Four words of 64 bits: each hash turns over one bit."""
-    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 2).bitwiseAND(63).cast("int"))
-    word = lambda w: F.aggregate(
-        F.filter(shingles, lambda h: h.bitwiseAND(3) == w), F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(h))
-    )
-    return F.struct(*(word(w).alias(f"w{w}") for w in range(4)))
+    return out.select(*own, "n", F.array_compact(F.array(*map(key, range(BANDS)))).alias("bands"))
 
 
 def _may_link() -> Column:
-    """Whether sizes and parities of an entry and another (``p_``) allow a link."""
-    n, m = F.col("n"), F.col("p_n")
-    differ = sum(F.bit_count(F.col(f"parity.w{w}").bitwiseXOR(F.col(f"p_parity.w{w}"))) for w in range(4))
-    # similarity s means a difference of at most (1 - s) / (1 + s) of both sizes
-    return (100 * F.least(n, m) >= SIMILAR * F.greatest(n, m)) & ((100 + SIMILAR) * differ <= (100 - SIMILAR) * (n + m))
+    """Whether the sizes of an entry and another (``p_``) allow a link."""
+    return 100 * F.least("n", "p_n") >= SIMILAR * F.greatest("n", "p_n")
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs that are similar. Lines move, not their sets, which are eight times as large."""
+def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes that are similar. Lines move, not their sets, which
+    are eight times as large, and only those of a pair."""
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    found = lines.join(sent(asked, asked.count()), "node", "left_semi")
+    texts = keep(found.groupBy("node").agg(F.first("line").alias("line")), "texts")
     left, right = texts.select(F.col("node").alias("a"), F.col("line").alias("la")), texts.select(F.col("node").alias("b"), F.col("line").alias("lb"))
     sets = pairs.join(left, "a").join(right, "b").select("a", "b", _shingles("la").alias("sa"), _shingles("lb").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     sized = sets.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("n"))
-    return sized.where(100 * F.col("both") >= SIMILAR * (F.col("n") - F.col("both"))).select("a", "b")
+    out = keep(sized.where(100 * F.col("both") >= SIMILAR * (F.col("n") - F.col("both"))).select("a", "b"), "links")
+    release(texts)
+    return out
 
 
 def repeated_lines(documents: DataFrame, short: bool = False) -> DataFrame:
@@ -96,24 +93,25 @@ def repeated_lines(documents: DataFrame, short: bool = False) -> DataFrame:
     of its component, in the order of document ids (nulls last), text hashes and
     line numbers. Of a repeated row, one row's lines are the first. With ``short``,
     lines under ``MIN_CHARS`` characters go where they are exact repeats."""
-    lines = keep(_with_bands(_lines(documents).select("node", _shingles("line").alias("shingles"))), "lines")
-    each = lines.select("node", F.explode("bands").alias("key"))
-    shared = keep(each.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key"), "shared")
-    entries = keep(each.join(sent(shared, shared.count()), "key").distinct(), "bands")
-    asked = keep(entries.select(F.col("node").alias("asked")).distinct(), "asked")
-    compared = _lines(documents).join(sent(asked, asked.count()), F.col("node") == F.col("asked"), "left_semi")
-    distinct = compared.groupBy("node").agg(F.first("line").alias("line"), F.count("*").alias("copies"))
-    texts = keep(distinct, "texts")
-    described = texts.select("node", (-F.col("copies")).alias("rank"), _shingles("line").alias("shingles")).select("node", F.size("shingles").alias("n"), "rank", _parities("shingles").alias("parity"))
-    sized = keep(entries.join(described, "node"), "entries")
-    release(lines, shared, entries, asked)
-    near = keep(_links(first_pairs(sized, ["rank"], _may_link()), texts), "links")
+    lines = _lines(documents).select("node", "line")
+    banded = _with_bands(lines.select("node", _shingles("line").alias("shingles")))
+    # one exchange brings a band's entries together; those of a single line go there
+    bucket = W.partitionBy("key")
+    # (a plain explode would have all of the above evaluated once more, to see whether there are bands)
+    each = banded.select("node", "n", F.explode_outer("bands").alias("key"))
+    shared = each.withColumns({"low": F.min("node").over(bucket), "high": F.max("node").over(bucket)}).where("low <> high")
+    entries = keep(shared.groupBy("key", "node", "n").agg((-F.count("*")).alias("rank")), "entries")
+    near_pairs = keep(first_pairs(entries, ["rank"], _may_link()), "pairs")
+    near = _links(near_pairs, lines)
     found = components(near)
-    far = keep(_links(remaining_pairs(sized, found, _may_link()), texts), "links")
-    if not far.isEmpty():
+    far_pairs = keep(remaining_pairs(entries, found, _may_link()), "pairs")
+    release(entries, near_pairs)
+    if not far_pairs.isEmpty():
+        far = _links(far_pairs, lines)
         release(found)
         found = components(near.unionByName(far))
-    release(texts, sized, near, far)
+        release(far)
+    release(far_pairs, near)
     named = _lines(documents, short).select("doc_id", "tkey", "at", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey", "at")
     first = named.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
