@@ -51,8 +51,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: The stages are fitted, hashed and searched, which SQL cannot say; tests hold
-#: each against a brute-force version.
+#: The stages are fitted, hashed and searched, which SQL cannot say; the tests of the
+#: operators hold each against a brute-force version.
 ORACLE_SQL: str | None = None
 
 
