@@ -2,10 +2,11 @@
 
 Two first-order models over the same characters are trained from labelled
 tokens of all documents: values that the fixed patterns find stand for random
-strings, tokens in the shape of words for ordinary identifiers. A long token of
-letters and digits is reported when its log-likelihood ratio per character
-exceeds a threshold set on held-out words. Training moves a table of pair
-counts per task, never tokens.
+strings, tokens in the shape of words, names, domains, paths and numbers for
+ordinary identifiers. Any token of 12 characters or more is reported when its
+log-likelihood ratio per character exceeds the threshold of its length, set on
+held-out ordinary tokens of that length. Training moves a table of pair counts
+per task, never tokens.
 """
 
 from __future__ import annotations
@@ -29,11 +30,19 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 
 #: Shortest token the models judge, and shortest they learn from.
-MIN_TOKEN, MIN_TRAIN = 20, 8
+MIN_TOKEN, MIN_TRAIN = 12, 8
+#: Lengths are told apart by fours up to this many characters, for the thresholds.
+LONGEST, STEP = 32, 4
+#: A length with fewer held-out tokens takes the threshold of the next shorter one where that is higher.
+LEAST_HELD = 1000
 #: One labelled token in so many is held out.
 HELD = 5
-#: Held-out words above the threshold: at most this share.
-FALSE_SHARE = 1e-5
+#: Shares of equally likely characters in the two models: random strings have other
+#: alphabets than those that the patterns know, and no pair is impossible in a name.
+UNIFORM, UNSEEN = 0.5, 1e-3
+#: A threshold lies so many standard deviations above the mean of the held-out ordinary tokens
+#: of its length. (A quantile would follow the few random strings that look ordinary.)
+DEVIATIONS = 5.0
 BUCKETS, BUCKET_WIDTH = 400, 0.05
 
 _CHARS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
@@ -43,12 +52,11 @@ _state[np.frombuffer(_CHARS, np.uint8)] = np.arange(len(_CHARS))
 _TOKEN = _state >= 0
 _HEX = np.zeros(256, bool)
 _HEX[np.frombuffer(b"0123456789abcdef", np.uint8)] = True
-_DIGIT = np.zeros(256, bool)
-_DIGIT[48:58] = True
-_LETTER = np.zeros(256, bool)
-_LETTER[65:91] = _LETTER[97:123] = True
-_SMALL = np.zeros(256, bool)
-_SMALL[97:123] = True
+#: Kinds of characters: 0 signs, 1 digits, 2 capitals, 3 small letters.
+_SORT = np.zeros(256, np.uint8)
+_SORT[48:58], _SORT[65:91], _SORT[97:123] = 1, 2, 3
+#: One capital after a small letter, as in names put together, a token may have for so many characters.
+HUMP = 5
 _SETTER = np.zeros(256, bool)
 _SETTER[np.frombuffer(b":=", np.uint8)] = True
 
@@ -89,11 +97,21 @@ def _sums(values: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(values)))
 
 
-def _wordlike(words: Words) -> np.ndarray:
-    """Tokens of letters, small but for the first: the label of an ordinary identifier."""
-    small = _sums(_SMALL[words.data])
-    inner = small[words.end] - small[np.minimum(words.start + 1, words.end)]
-    return (inner == words.end - words.start - 1) & _LETTER[words.data[words.start]]
+def _ordinary(words: Words) -> np.ndarray:
+    """Tokens whose letters and digits stand apart and whose letters change to
+    capitals seldom, and names behind an at sign: the label of an ordinary identifier."""
+    sort = _SORT[words.data]
+    left, right = sort[:-1], sort[1:]
+    touch = np.concatenate(([False], ((left == 1) & (right >= 2)) | ((left >= 2) & (right == 1)), [False]))
+    humps = np.concatenate(([False], (left == 3) & (right == 2), [False]))
+    touches, humps = _sums(touch), _sums(humps)
+    inner = np.minimum(words.start + 1, words.end)
+    apart = (touches[words.end] == touches[inner]) & (HUMP * (humps[words.end] - humps[inner]) <= words.end - words.start)
+    return apart | ((words.start > 0) & (words.data[words.start - 1] == ord("@")))
+
+
+def _length_class(size: np.ndarray) -> np.ndarray:
+    return np.minimum(size, LONGEST) // STEP
 
 
 def _pairs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -126,7 +144,7 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if values:
                 random += _value_pairs(values)
             taught = (words.end - words.start >= MIN_TRAIN) & (words.hash % np.uint64(HELD) != 0)
-            taught &= _wordlike(words)
+            taught &= _ordinary(words)
             plain += _pairs(data, words.start[taught], words.end[taught])
     at = np.flatnonzero(random + plain)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(random[at]), pa.array(plain[at])], names=["pair", "random", "plain"])
@@ -140,18 +158,20 @@ def train(documents: DataFrame) -> np.ndarray:
     for row in counted.groupBy("pair").agg(F.sum("random").alias("random"), F.sum("plain").alias("plain")).collect():
         tables[:, row.pair] += row.random, row.plain
     chance = tables.reshape(2, STATES, STATES)
-    chance = np.log(chance / chance.sum(axis=2, keepdims=True))
-    return chance[0] - chance[1]
+    chance /= chance.sum(axis=2, keepdims=True)
+    for kind, share in enumerate((UNIFORM, UNSEEN)):
+        chance[kind] = (1 - share) * chance[kind] + share / len(_CHARS)
+    return np.log(chance[0]) - np.log(chance[1])
 
 
 def _scan(documents: DataFrame, ratio: np.ndarray) -> DataFrame:
     """A row per document with base spans and scored tokens, and the histogram
-    of held-out words' scores as further rows."""
+    of held-out tokens' scores by length as further rows."""
     shared = documents.sparkSession.sparkContext.broadcast(ratio)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        histogram = np.zeros(BUCKETS, np.int64)
+        histogram = np.zeros((LONGEST // STEP + 1) * BUCKETS, np.int64)
         for batch in batches:
             n = batch.num_rows
             base_of: list[list] = [[] for _ in range(n)]
@@ -168,21 +188,19 @@ def _scan(documents: DataFrame, ratio: np.ndarray) -> DataFrame:
                 size = words.end - words.start
                 score = (gains[words.end] - gains[words.start]) / np.maximum(size, 1)
                 held = (size >= MIN_TRAIN) & (words.hash % np.uint64(HELD) == 0)
-                held &= _wordlike(words)
+                held &= _ordinary(words)
                 bucket = np.clip((score[held] / BUCKET_WIDTH).astype(np.int64) + BUCKETS // 2, 0, BUCKETS - 1)
-                histogram += np.bincount(bucket, minlength=BUCKETS)
-                digits, letters = _sums(_DIGIT[data]), _sums(_LETTER[data])
-                mixed = (digits[words.end] > digits[words.start]) & (letters[words.end] > letters[words.start])
-                chosen = np.flatnonzero((size >= MIN_TOKEN) & mixed & (score > 0))
+                histogram += np.bincount(_length_class(size[held]) * BUCKETS + bucket, minlength=len(histogram))
+                chosen = np.flatnonzero((size >= MIN_TOKEN) & (score > 0))
                 if len(chosen):
                     points = _sums((data & 0xC0) != 0x80)
                     for i in chosen.tolist():
                         d = int(words.doc[i])
                         low, high = int(points[words.start[i]] - points[offsets[d]]), int(points[words.end[i]] - points[offsets[d]])
                         if all(high <= s or e <= low for _, s, e, _ in base.get(d, ())):
-                            scored_of[a + d].append({"start": low, "end": high, "score": float(score[i])})
+                            scored_of[a + d].append({"start": low, "end": high, "size": int(size[i]), "score": float(score[i])})
             base_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-            scored_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
+            scored_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("size", pa.int64()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(base_of, base_type), pa.array(scored_of, scored_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
                 names=["doc_id", "tkey", "base", "scored", "bucket", "n"],
@@ -194,19 +212,26 @@ def _scan(documents: DataFrame, ratio: np.ndarray) -> DataFrame:
                 names=["doc_id", "tkey", "base", "scored", "bucket", "n"],
             )
 
-    schema = "doc_id long, tkey long, base array<struct<kind: string, start: long, end: long>>, scored array<struct<start: long, end: long, score: double>>, bucket long, n long"
+    schema = "doc_id long, tkey long, base array<struct<kind: string, start: long, end: long>>, scored array<struct<start: long, end: long, size: long, score: double>>, bucket long, n long"
     picked = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("tkey"), "text")
     return picked.mapInArrow(scan, schema)
 
 
-def _threshold(histogram: dict[int, int]) -> float:
-    """Least score that at most ``FALSE_SHARE`` of held-out words reach."""
-    allowed, above = FALSE_SHARE * sum(histogram.values()), 0
-    for bucket in range(BUCKETS - 1, BUCKETS // 2 - 1, -1):
-        above += histogram.get(bucket, 0)
-        if above > allowed:
-            return (bucket + 1 - BUCKETS // 2) * BUCKET_WIDTH
-    return 0.0
+def _thresholds(histogram: dict[int, int]) -> list[float]:
+    """For each class of length the score ``DEVIATIONS`` above its held-out tokens'
+    mean, 0 at least. Few held-out tokens say little: there the next shorter
+    class's holds, whose scores spread wider. Without any nothing is reported."""
+    limits: list[float] = []
+    middles = (np.arange(BUCKETS) + 0.5 - BUCKETS // 2) * BUCKET_WIDTH
+    for size in range(LONGEST // STEP + 1):
+        counts = np.array([histogram.get(size * BUCKETS + b, 0) for b in range(BUCKETS)], np.float64)
+        if counts.sum() >= LEAST_HELD or (counts.sum() and not (limits and np.isfinite(limits[-1]))):
+            mean = (counts * middles).sum() / counts.sum()
+            spread = np.sqrt((counts * (middles - mean) ** 2).sum() / counts.sum() + BUCKET_WIDTH**2)
+            limits.append(max(0.0, float(mean + DEVIATIONS * spread)))
+        else:
+            limits.append(limits[-1] if limits else float("inf"))
+    return limits
 
 
 def secret_spans(documents: DataFrame) -> DataFrame:
@@ -219,9 +244,10 @@ def secret_spans(documents: DataFrame) -> DataFrame:
     """
     scanned = keep(_scan(documents, train(documents)), "secrets")
     histogram = {r.bucket: r.n for r in scanned.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
-    limit = _threshold(histogram)
+    limits = F.array(*map(F.lit, _thresholds(histogram)))
+    limit = lambda s: F.get(limits, F.floor(F.least(s["size"], F.lit(LONGEST)) / STEP).cast("int"))
     added = F.transform(
-        F.filter("scored", lambda s: s["score"] >= limit), lambda s: F.struct(F.lit("model").alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
+        F.filter("scored", lambda s: s["score"] >= limit(s)), lambda s: F.struct(F.lit("model").alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
     )
     order = lambda s: F.struct(s["start"].alias("start"), F.array_position(F.array(*map(F.lit, KINDS)), s["kind"]).alias("place"), s["kind"].alias("kind"), s["end"].alias("end"))
     ordered = F.transform(F.array_sort(F.transform(F.concat("base", added), order)), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
