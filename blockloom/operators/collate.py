@@ -70,6 +70,50 @@ def label_field(df: DataFrame) -> DataFrame:
     return df.select(*kept)
 
 
+def labels_by_value(
+    df: DataFrame, *, batch_size: int, columns: tuple[str, ...] = ("label", "label_ids"), index: str = "row_idx"
+) -> DataFrame:
+    """``batch_id``, ``labels`` and ``labels_kind``, the type decided batch by batch.
+
+    Of ``columns`` (numbers, booleans or variants) a batch takes the first that
+    has a value in it. Its first value, in the order of ``index``, makes the
+    batch ``bigint`` (whole numbers and booleans; fractions are cut off) or
+    ``float`` (rounded to single precision); ``labels`` holds both as double.
+    Rows without a value in that column, SQL's or JSON's null, are left out, and
+    so are values that are no number. String columns are not collated.
+    """
+    batch = W.partitionBy("batch_id")
+    whole = batch.orderBy(index).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    types = {f.name: f.dataType for f in df.schema}
+    given = [c for c in columns if c in types]
+    values = []
+    for c in given:
+        if isinstance(types[c], T.VariantType):
+            number, made = F.try_variant_get(c, "$", "double"), F.schema_of_variant(c)
+            integral = made.isin("BIGINT", "BOOLEAN") | made.rlike(r"^DECIMAL\([0-9]+,0\)$")
+            number = F.when(made.rlike("^(BIGINT|BOOLEAN|FLOAT|DOUBLE|DECIMAL.*)$"), number)
+        else:
+            number = F.col(c).cast("double")
+            integral = F.lit(isinstance(types[c], (T.IntegralType, T.BooleanType)))
+        values.append(F.when(number.isNotNull(), F.struct(number.alias("number"), integral.alias("integral"))))
+    numbered = with_batch_id(df, batch_size, index=index)
+    firsts = [F.first(v, ignorenulls=True).over(whole).alias(f"_first_{i}") for i, v in enumerate(values)]
+    marked = numbered.select("*", *[v.alias(f"_value_{i}") for i, v in enumerate(values)], *firsts)
+    chosen, kind = F.lit(None).cast("double"), F.lit(None).cast("boolean")
+    for i in reversed(range(len(values))):
+        present = F.col(f"_first_{i}").isNotNull()
+        chosen = F.when(present, F.col(f"_value_{i}.number")).otherwise(chosen)
+        kind = F.when(present, F.col(f"_first_{i}.integral")).otherwise(kind)
+    cut = F.when(chosen < 0, -F.floor(-chosen)).otherwise(F.floor(chosen)).cast("double")
+    kept = [c for c in numbered.columns if c not in columns and not isinstance(types.get(c), T.StringType)]
+    out = marked.select(
+        *kept,
+        F.when(kind, cut).otherwise(chosen.cast("float").cast("double")).alias("labels"),
+        F.when(kind, "bigint").otherwise("float").alias("labels_kind"),
+    )
+    return out.where(F.col("labels").isNotNull())
+
+
 def shift_right(df: DataFrame, *, start: int, pad: int | None, labels: str = "labels") -> DataFrame:
     """Add ``decoder_input_ids``: the labels moved one to the right behind the
     start id, ignored labels as the pad id."""

@@ -79,6 +79,23 @@ def collate_label_field(spark: SparkSession, d: str) -> DataFrame:
     return C.label_field(rows).drop("embedding")
 
 
+@query(
+    "labels_by_value",
+    f"""WITH v AS (SELECT vec_id, CAST(floor(vec_id / {BATCH}) AS BIGINT) AS batch_id, vec_id % 3 <> 0 AS whole,
+            CASE WHEN vec_id % 7 = 0 THEN NULL WHEN vec_id % 3 = 0 THEN label - 2.75 ELSE label - 2 END AS n FROM embeddings),
+    k AS (SELECT batch_id, arg_min(whole, vec_id) AS whole FROM v WHERE n IS NOT NULL GROUP BY batch_id)
+    SELECT vec_id, batch_id, CASE WHEN k.whole THEN CAST(trunc(n) AS DOUBLE) + 0 ELSE CAST(CAST(n AS FLOAT) AS DOUBLE) END AS labels,
+      CASE WHEN k.whole THEN 'bigint' ELSE 'float' END AS labels_kind
+    FROM v JOIN k USING (batch_id) WHERE n IS NOT NULL""",
+)
+def labels_by_value(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of both makes and missing ones in one column."""
+    rows = spark.read.parquet(f"{d.rstrip('/')}/embeddings.parquet").select("vec_id", "label")
+    text = F.when(F.col("vec_id") % 3 == 0, (F.col("label") - 2.75).cast("string")).otherwise((F.col("label") - 2).cast("string"))
+    mixed = F.parse_json(F.when(F.col("vec_id") % 7 == 0, "null").otherwise(text))
+    return C.labels_by_value(rows.select("vec_id", mixed.alias("label")), batch_size=BATCH, index="vec_id")
+
+
 @query(
     "shift_right",
     f"""WITH {_EXAMPLES}

@@ -36,6 +36,24 @@ def test_ragged_batches_become_their_first_row(spark):
     assert out == {0: [1, 2], 1: [1, 2], 2: [4], 3: [5]}
 
 
+def test_labels_by_value(spark):
+    rows = [(0, "null", 9.0), (1, "2", 9.0), (2, "2.9", None), (3, "-2.9", None), (4, "0.1", 9.0), (5, "3", 9.0), (6, '"x"', None), (7, "true", None), (8, None, 1.5), (9, "null", None)]
+    rows += [(12, "true", None), (13, "[1]", None), (14, "1e2", None), (16, None, None)]
+    df = spark.createDataFrame(rows, "row_idx int, j string, label_ids double").selectExpr("row_idx", "parse_json(j) AS label", "label_ids", "j AS note")
+    out = C.labels_by_value(df, batch_size=4)
+    assert out.columns == ["row_idx", "batch_id", "labels", "labels_kind"]
+    got = {r.row_idx: (r.labels, r.labels_kind) for r in out.collect()}
+    single = 0.10000000149011612
+    assert got == {
+        1: (2.0, "bigint"), 2: (2.0, "bigint"), 3: (-2.0, "bigint"), 4: (single, "float"), 5: (3.0, "float"), 7: (1.0, "float"),
+        8: (1.5, "float"), 12: (1.0, "bigint"), 14: (100.0, "bigint"),
+    }
+    assert C.labels_by_value(df.limit(0), batch_size=4).collect() == []
+    typed = spark.createDataFrame([(0, None), (1, 7)], "row_idx int, label int")
+    assert [(r.labels, r.labels_kind) for r in C.labels_by_value(typed, batch_size=4).collect()] == [(7.0, "bigint")]
+    assert C.labels_by_value(typed.drop("label"), batch_size=4).collect() == []
+
+
 def test_label_field(spark):
     whole = spark.createDataFrame([(1, 2, "note")], "x int, label int, s string")
     assert C.label_field(whole).dtypes == [("x", "int"), ("labels", "bigint")]
