@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from blockloom.llm import boosting, line_dedup, quality
+from blockloom.llm import boosting, line_dedup, pii, quality
 from blockloom.llm.bin_packing import best_fit, improve
 from blockloom.llm.common import ALNUM, SPACED, Words, bit_table, has_bit, sliced
 from blockloom.llm.components import components
@@ -249,3 +249,15 @@ def test_robust_estimate_against_numpy(spark):
 
 def test_chi_squared():
     assert abs(quality._quantile(0.95, 5) - 11.0705) < 1e-3 and abs(quality._chi2(3.841459, 1) - 0.95) < 1e-6
+
+
+def test_sample_of_candidates_is_the_least_hashes(spark, monkeypatch):
+    texts = [(i % 700, f"call +1 202 555 {i % 700:04d} or 10.0.{i % 250}.7 now") for i in range(2100)]
+    found = pii.candidates(spark.createDataFrame(texts, "doc_id long, text string").repartition(6))
+    monkeypatch.setattr(pii, "TRAIN_ROWS", 10**6)
+    everything = pii._sample(found, "base")
+    assert len(everything) == 4200
+    for size in (1, 50, 3000, 4200):
+        monkeypatch.setattr(pii, "TRAIN_ROWS", size)
+        assert pii._sample(found, "base") == everything[:size]
+    assert pii._sample(found.limit(0), "base") == []
