@@ -50,16 +50,21 @@ def _shingles(line: str) -> Column:
     return F.sort_array(F.array_distinct(hashes))
 
 
-def _with_bands(lines: DataFrame) -> DataFrame:
-    """``n``, the size of the sorted set ``shingles``, and ``bands``: its keys, one of
-    each stretch that has a hash. Steps are columns of their own, so that they are compiled."""
-    own = [c for c in lines.columns if c != "shingles"]
+def _with_stretches(lines: DataFrame) -> DataFrame:
+    """``n``, the size of the sorted set ``shingles``, and ``at0`` and so on: the place at
+    which each stretch begins, the end last. Steps are columns of their own, so that they are compiled."""
     limits = [F.lit((b - BANDS // 2) * (2**64 // BANDS)) for b in range(BANDS)]
     # the stretches' limits sorted in among the hashes: a limit's place less those before it is its stretch's beginning
     out = lines.withColumn("among", F.sort_array(F.concat(F.col("shingles"), F.array(*limits)))).withColumn("n", F.size("shingles"))
     for b in range(BANDS):
         out = out.withColumn(f"at{b}", (F.array_position("among", limits[b]) - b).cast("int"))
-    out = out.withColumn(f"at{BANDS}", F.col("n") + 1).withColumn("circle", F.concat("shingles", F.slice("shingles", 1, ROWS - 1)))
+    return out.withColumn(f"at{BANDS}", F.col("n") + 1)
+
+
+def _with_bands(lines: DataFrame) -> DataFrame:
+    """``n`` and ``bands``: the keys, one of each stretch that has a hash."""
+    own = [c for c in lines.columns if c != "shingles"]
+    out = _with_stretches(lines).withColumn("circle", F.concat("shingles", F.slice("shingles", 1, ROWS - 1)))
 
     def key(b: int) -> Column:
         at = F.col(f"at{b}")
@@ -73,18 +78,43 @@ def _may_link() -> Column:
     return 100 * F.least("n", "p_n") >= SIMILAR * F.greatest("n", "p_n")
 
 
+def _with_sketch(lines: DataFrame) -> DataFrame:
+    """``n`` and ``sketch``: 64 cells of each stretch, a bit for each with an odd number of hashes."""
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(x, 54).bitwiseAND(63).cast("int"))
+
+    def word(b: int) -> Column:
+        inside = F.slice("shingles", F.col(f"at{b}"), F.col(f"at{b + 1}") - F.col(f"at{b}"))
+        return F.aggregate(inside, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x))).alias(f"s{b}")
+
+    own = [c for c in lines.columns if c != "shingles"]
+    return _with_stretches(lines).select(*own, "n", F.struct(*map(word, range(BANDS))).alias("sketch"))
+
+
+def _near(a: str, b: str) -> Column:
+    """Whether the sketches of two sets allow a link. A cell that differs holds a hash
+    of one set only, and similar sets have at most (100 - SIMILAR) / (100 + SIMILAR)
+    of both sizes of such hashes: no pair that links is held back."""
+    apart = sum((F.bit_count(F.col(f"sketch_{a}.s{w}").bitwiseXOR(F.col(f"sketch_{b}.s{w}"))) for w in range(BANDS)), F.lit(0))
+    return (100 + SIMILAR) * apart <= (100 - SIMILAR) * (F.col(f"n_{a}") + F.col(f"n_{b}"))
+
+
 def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes that are similar. Lines move, not their sets, which
+    """The pairs (a, b) of nodes that are similar. A line is shingled once for its sketch,
+    and again for each pair whose sketches allow a link. Lines move, not their sets, which
     are eight times as large, and only those of a pair."""
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     found = lines.join(sent(asked, asked.count()), "node", "left_semi")
-    texts = keep(found.groupBy("node").agg(F.first("line").alias("line")), "texts")
-    left, right = texts.select(F.col("node").alias("a"), F.col("line").alias("la")), texts.select(F.col("node").alias("b"), F.col("line").alias("lb"))
-    sets = pairs.join(left, "a").join(right, "b").select("a", "b", _shingles("la").alias("sa"), _shingles("lb").alias("sb"))
+    texts = found.groupBy("node").agg(F.first("line").alias("line"))
+    texts = keep(_with_sketch(texts.select("node", "line", _shingles("line").alias("shingles"))), "texts")
+    side = lambda node: texts.select(F.col("node").alias(node), *(F.col(c).alias(f"{c}_{node}") for c in ("n", "sketch")))
+    both_near = pairs.join(side("a"), "a").join(side("b"), "b").where(_near("a", "b")).select("a", "b")
+    near = keep(both_near, "near")
+    line = lambda node: texts.select(F.col("node").alias(node), F.col("line").alias(f"l{node}"))
+    sets = near.join(line("a"), "a").join(line("b"), "b").select("a", "b", _shingles("la").alias("sa"), _shingles("lb").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     sized = sets.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("n"))
     out = keep(sized.where(100 * F.col("both") >= SIMILAR * (F.col("n") - F.col("both"))).select("a", "b"), "links")
-    release(texts)
+    release(texts, near)
     return out
 
 

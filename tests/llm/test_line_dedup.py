@@ -32,6 +32,29 @@ def test_recall_at_the_bound(spark):
     assert np.mean([bool(a & b) for a, b in bands.values()]) >= 0.995
 
 
+def test_sketches_hold_back_no_link(spark):
+    """Sets of similarity from a third to one: all that link pass, few of the unlike do."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(1500):
+        n = int(rng.integers(16, 600))
+        pool = rng.permutation(np.unique(rng.integers(-(2**63), 2**63 - 1, 2 * n)))
+        shared = int(rng.integers(n // 2, n + 1)) if i % 3 else -(-8 * n // 9)
+        sets = pool[:n], np.concatenate([pool[:shared], pool[n : 2 * n - shared]])
+        rows += [(i, side, sorted(map(int, s))) for side, s in enumerate(sets)]
+    df = line_dedup._with_sketch(spark.createDataFrame(rows, "i int, side int, shingles array<long>"))
+    left, right = (df.where(f"side = {k}").select("i", df.n.alias(f"n_{c}"), df.sketch.alias(f"sketch_{c}")) for k, c in enumerate("ab"))
+    passed = {r.i: r.may for r in left.join(right, "i").select("i", line_dedup._near("a", "b").alias("may")).collect()}
+    sets = defaultdict(dict)
+    for i, side, s in rows:
+        sets[i][side] = set(s)
+    similar = {i: len(s[0] & s[1]) / len(s[0] | s[1]) for i, s in sets.items()}
+    link = {i for i, s in sets.items() if 100 * len(s[0] & s[1]) >= line_dedup.SIMILAR * len(s[0] | s[1])}
+    assert len(passed) == 1500 and 300 < len(link) < 1200
+    assert all(passed[i] for i in link)
+    assert np.mean([passed[i] for i, x in similar.items() if x < 0.7]) < 0.05
+
+
 def test_query_against_all_pairs(spark):
     folder = "/root/testdata/sf0.001"
     documents = sorted(spark.read.parquet(f"{folder}/documents.parquet").collect(), key=lambda r: r.doc_id)
