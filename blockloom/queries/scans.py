@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from blockloom import sources as S
 from blockloom.operators.rows import explode_pieces
 from blockloom.operators.sampling import split
-from blockloom.queries.registry import SQL_INSTRUCTIONS, SQL_LINES, instructions, lines, query, table
+from blockloom.queries.registry import SQL_INSTRUCTIONS, SQL_LINES, instructions, lines, query, spread, table
 from blockloom.session import scratch_path
 
 
@@ -69,6 +69,10 @@ def scan_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return S.read_text(spark, path, sample_by="paragraph").select(_of_file("role"), "text", "row_idx", "n_rows")
 
 
+#: Documents a file that is read as one row: a larger table makes more files, not larger rows.
+FILE_ROWS = 1_000
+
+
 @query(
     "scan_documents",
     """SELECT CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars,
@@ -77,8 +81,8 @@ def scan_paragraphs(spark: SparkSession, d: str) -> DataFrame:
 def scan_documents(spark: SparkSession, d: str) -> DataFrame:
     """Whole files, one row each: together they hold what was written."""
     path = scratch_path(spark, "documents") + ".txt"
-    docs = table(spark, d, "documents").select(F.replace("text", F.lit("\n"), F.lit(" ")).alias("value"))
-    docs.repartition(8).write.text(path)
+    docs = spread(table(spark, d, "documents").select(F.replace("text", F.lit("\n"), F.lit(" ")).alias("value")))
+    docs.write.option("maxRecordsPerFile", FILE_ROWS).text(path)
     files = S.load_source(spark, [path, 1, {"sample_by": "document"}])
     newlines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     return files.agg(

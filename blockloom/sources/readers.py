@@ -91,8 +91,8 @@ def _indexed(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _newlines(text: Column) -> Column:
-    """Carriage returns, alone or before a newline, as newlines."""
-    return F.regexp_replace(text, "\r\n?", "\n")
+    """Carriage returns, alone or before a newline, as newlines. A text without any is not copied."""
+    return F.when(text.contains("\r"), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
 
 
 def read_text(

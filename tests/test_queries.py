@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_point
-from blockloom.queries import ORACLES, QUERIES
+from blockloom.queries import ORACLES, QUERIES, scans
 from tests.oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -30,3 +30,13 @@ def test_entry(spark):
     levels = {level: [r for r in rows if r["level"] == level] for level in ("name", "prefix", "all")}
     assert {r["prefix"] for r in levels["prefix"]} == {"train", "test"}
     assert levels["all"][0]["tokens"] == sum(r["tokens"] for r in levels["name"])
+
+
+def test_whole_files_are_bounded(spark, monkeypatch):
+    """A larger table makes more files, not larger rows."""
+    read = []
+    load = scans.S.load_source
+    monkeypatch.setattr(scans.S, "load_source", lambda *a: read.append(load(*a)) or read[-1])
+    monkeypatch.setattr(scans, "FILE_ROWS", 5)
+    assert scans.scan_documents(spark, FOLDER).first().n_lines == 200
+    assert read[0].count() >= 40 and read[0].selectExpr("max(length(text) - length(replace(text, '\\n', ''))) as n").first().n <= 5
