@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from blockloom.operators.steps import steps
 from blockloom.session import scratch_path, stored
 
 
@@ -53,7 +54,8 @@ def _in_buckets(df: DataFrame, column: str, label: str) -> DataFrame:
 
 
 def _filler(kind: DataType):
-    """Overwrite places of arrays, a whole Arrow batch at a time."""
+    """Overwrite places of arrays, whole Arrow columns at a time."""
+    cut = steps()
 
     def filled(values: pa.Array, places: pa.Array, found: pa.Array) -> pa.Array:
         sizes = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False)
@@ -69,7 +71,7 @@ def _filler(kind: DataType):
 
     @F.arrow_udf(kind)
     def fill(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for values, places, found in columns:
+        for values, places, found in cut(columns):
             yield filled(values, places, found)
 
     return fill

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from blockloom.operators.steps import steps
 from blockloom.operators.vocab import BROADCAST_ROWS, Vocabulary, decode
 
 CHOICE = ("request_id", "idx")
@@ -41,11 +42,12 @@ def _chosen(logprobs: Column, token_id: Column) -> Column:
 
 
 def _sums_before():
-    """Exclusive running sums of each array, a whole Arrow batch at a time."""
+    """Exclusive running sums of each array, whole Arrow columns at a time."""
+    cut = steps()
 
     @F.arrow_udf("array<bigint>")
     def sums_before(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lists in batches:
+        for lists in cut(batches):
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
             ends = np.concatenate(([0], np.cumsum(sizes)))
             values = pc.fill_null(lists.flatten(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -58,10 +60,11 @@ def _sums_before():
 
 def _maps_of():
     """Names and values of all alternatives of a row, cut into a map a position."""
+    cut = steps()
 
     @F.arrow_udf("array<map<string,double>>")
     def maps_of(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for names, values, sizes in batches:
+        for names, values, sizes in cut(batches):
             rows = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(sizes), 0).to_numpy(zero_copy_only=False))))
             ends = np.concatenate(([0], np.cumsum(sizes.flatten().to_numpy(zero_copy_only=False))))
             maps = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), names.flatten(), values.flatten())

@@ -24,6 +24,7 @@ from blockloom.functions.text import (
 )
 from blockloom.operators.patching import Patch, patch_arrays
 from blockloom.operators.rows import with_row_index
+from blockloom.operators.steps import steps
 from blockloom.session import stored
 
 #: A lookup table with more rows than this is not broadcast whole.
@@ -152,13 +153,14 @@ def encode_fields(
     return patch_arrays(df.select(*key, *keep, *first), patches, rare, limit=broadcast_rows)
 
 
-# The two functions below travel to the tasks whole: what they call is defined
+# The functions below travel to the tasks whole: what they call is defined
 # inside, so that workers need not have this package.
 
 
 def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool, misses: bool = False):
-    """Text to ids, a whole Arrow batch at a time; with ``misses`` also the place
+    """Text to ids, whole Arrow columns at a time; with ``misses`` also the place
     and the word of each one that is not known."""
+    cut = steps()
 
     def encoded(texts: pa.Array, known: dict[str, int]) -> pa.Array:
         pieces = pc.split_pattern_regex(pc.fill_null(texts, ""), TOKEN_SEPARATOR)
@@ -196,15 +198,16 @@ def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool, misses: bool = Fal
     @F.arrow_udf("struct<values:array<int>,place:array<int>,key:array<string>>" if misses else "array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = shared.value
-        for texts in batches:
+        for texts in cut(batches):
             yield encoded(texts, known)
 
     return ids_of
 
 
 def _decoder(shared: Broadcast, misses: bool = False):
-    """Ids to tokens, a whole Arrow batch at a time; with ``misses`` also the
+    """Ids to tokens, whole Arrow columns at a time; with ``misses`` also the
     place and the id of each one that is not known."""
+    cut = steps()
 
     def decoded(lists: pa.Array, numbers: np.ndarray, names: pa.Array) -> pa.Array:
         flat = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
@@ -228,7 +231,7 @@ def _decoder(shared: Broadcast, misses: bool = False):
     def tokens_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         numbers = np.fromiter(shared.value.values(), np.int64, len(shared.value))
         names = pa.array(list(shared.value), pa.string())
-        for lists in batches:
+        for lists in cut(batches):
             yield decoded(lists, numbers, names)
 
     return tokens_of

@@ -2,10 +2,12 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from blockloom.operators import rows as R
+from blockloom.operators import steps as S
 from blockloom.operators import vocab as V
 
 PARTITIONS = (1, 4, 17)
@@ -179,3 +181,22 @@ def test_overlong_and_block_size(spark):
     assert V.resolve_block_size(None, 4096) == 1024
     assert V.resolve_block_size(None, 512) == 512
     assert V.resolve_block_size(2048, 512) == 512
+
+
+def test_batches_are_cut_into_bounded_steps(spark, monkeypatch):
+    """What a worker holds at a time follows neither the rows of a batch nor their lengths; results stay."""
+    texts = pa.array(["a" * 6, None, "b" * 6, "", "c" * 30, "d"])
+    cut = list(S.steps(10)(iter([texts, texts.slice(0, 0)])))
+    assert [len(x) for x in cut] == [2, 2, 1, 1] and pa.concat_arrays(cut).equals(texts)
+    lists = pa.array([[1, 2], None, [3], [], [4] * 9, [5]])
+    pairs = list(S.steps(3)(iter([(lists, lists)])))
+    assert [len(x) for x, _ in pairs] == [1, 3, 1, 1] and pa.concat_arrays([y for _, y in pairs]).equals(lists)
+
+    df = spark.createDataFrame([(i, None if i % 7 == 0 else " ".join(f"w{j % 50}" for j in range(i))) for i in range(60)], "k int, text string").coalesce(1)
+    results = []
+    for step in (S.STEP, 64):
+        monkeypatch.setattr(S, "STEP", step)
+        vocab = V.build_vocab(df, max_vocab=40)
+        ids = V.encode(df, vocab, key=["k"], add_eos=True, broadcast_rows=10)
+        results.append((sorted(map(tuple, ids.collect())), sorted(map(tuple, V.decode(ids, vocab, ids="input_ids", key=["k"], broadcast_rows=10).collect()))))
+    assert results[0] == results[1]
