@@ -71,8 +71,9 @@ def token_logprob(spark: SparkSession, d: str) -> DataFrame:
 )
 def text_offsets(spark: SparkSession, d: str) -> DataFrame:
     placed = U.text_offsets(_choices(spark, d), vocabulary(spark, d))
-    each = F.posexplode(F.arrays_zip("tokens", "text_offset")).alias("pos", "_z")
-    return placed.select("request_id", "idx", each).select(
+    # (a plain posexplode would have all of the above evaluated once more, to see whether there are positions)
+    each = F.posexplode_outer(F.arrays_zip("tokens", "text_offset")).alias("pos", "_z")
+    return placed.select("request_id", "idx", each).where("pos is not null").select(
         "request_id", "idx", "pos", F.col("_z.tokens").alias("token"), F.col("_z.text_offset").alias("text_offset")
     )
 
@@ -87,7 +88,8 @@ def text_offsets(spark: SparkSession, d: str) -> DataFrame:
 def top_logprobs(spark: SparkSession, d: str) -> DataFrame:
     top = U.top_logprobs(_with_logprobs(_choices(spark, d)), vocabulary(spark, d), k=2)
     total = F.aggregate(F.map_values("top"), F.lit(0.0), lambda a, x: a + x)
-    return top.select("request_id", "idx", F.posexplode("top_logprobs").alias("pos", "top")).select(
+    each = F.posexplode_outer("top_logprobs").alias("pos", "top")  # as in text_offsets
+    return top.select("request_id", "idx", each).where("pos is not null").select(
         "request_id",
         "idx",
         "pos",
