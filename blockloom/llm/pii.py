@@ -2,13 +2,12 @@
 
 Fixed patterns give the base spans, which always stay. Wider generators propose
 further and overlapping spans: any number with separators and long runs of digits
-within it, anything around an at sign, spelled-out addresses. Trees are trained on a bounded sample of candidates,
-those that pass the fixed checks being positive; a candidate beyond the base is
-added where the trees' log odds exceed a threshold that keeps a held-out part of
-the sample precise.
+within it, anything around an at sign, spelled-out addresses. Trees are trained on all candidates but
+a held-out quarter, those that pass the fixed checks being positive; a candidate beyond the base is
+added where the trees' log odds exceed a threshold that keeps the held-out ones precise.
 
-Spans are found, described and scored inside each row by SQL functions; Python
-sees the training sample only, on the driver.
+Spans are found, described, counted and scored by SQL functions; Python sees
+counts only, on the driver.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockloom.llm import boosting
-from blockloom.llm.common import keep, text_key
+from blockloom.llm.common import keep, release, text_key
 from blockloom.llm.quality import let
 
 KINDS = ("email", "ip", "card", "phone")
@@ -44,7 +43,13 @@ HINT = r"(?i)\b(tel|phone|call|fax|mobile|mail|e-?mail|contact|card|visa|account
 SIDE = 24
 #: Digits of a proposed number.
 MIN_DIGITS, MAX_DIGITS = 5, 19
-#: Labelled candidates collected for training, at most so many of each label.
+#: Features beyond this count as this in training.
+MOST = 255
+#: Up to so many different candidates are collected, with their numbers, to train on the driver.
+FEW_VECTORS = 20_000
+#: Held-out candidates are told apart by steps of this size of their log odds.
+STEP = 2**-10
+#: Candidates that ``_sample`` takes; training takes all.
 TRAIN_ROWS = 10_000
 PRECISION = 0.98
 
@@ -162,7 +167,7 @@ def candidates(documents: DataFrame) -> DataFrame:
 
 
 def _sample(found: DataFrame, column: str) -> list[tuple[int, ...]]:
-    """The ``TRAIN_ROWS`` candidates of the least hashes: hash modulo 4, features.
+    """For a look at candidates, not for training: the ``TRAIN_ROWS`` of the least hashes, hash modulo 4, features.
     Only hashes below a bound are ordered, so that the tasks together send about
     twice the sample, whatever their number. Where repeated rows leave less than
     the sample below the bound, it is doubled."""
@@ -178,18 +183,51 @@ def _sample(found: DataFrame, column: str) -> list[tuple[int, ...]]:
         width *= 2
 
 
+def vectors(found: DataFrame) -> DataFrame:
+    """All candidates, counted: ``label`` (1 base, 0 proposed), ``held`` (out of
+    training, a quarter by hash), features, and ``n``, how many are alike in these."""
+    held = F.xxhash64("doc_id", "tkey", "s.start", "s.kind").bitwiseAND(3) == 0
+    alike = [F.least(F.col(f"s.{f}"), F.lit(MOST)).alias(f) for f in FEATURES]
+    each = [
+        found.select("doc_id", "tkey", F.explode(column).alias("s")).select(F.lit(label).alias("label"), held.alias("held"), *alike)
+        for label, column in ((1, "base"), (0, "proposed"))
+    ]
+    return each[0].unionByName(each[1]).groupBy("label", "held", *FEATURES).agg(F.count("*").alias("n"))
+
+
 def train(found: DataFrame) -> tuple[list[boosting.Tree], float] | None:
-    """Trees and threshold from at most ``TRAIN_ROWS`` candidates of each label,
-    taken by hash; none where a label is missing or nothing is precise enough."""
-    sample = [(label, *row) for label, column in ((1, "base"), (0, "proposed")) for row in _sample(found, column)]
-    data = np.array(sample, np.float64).reshape(len(sample), 2 + len(FEATURES))
-    held = data[:, 1] == 0
+    """Trees and threshold from all candidates; none where a label is missing or
+    nothing is precise enough. Up to ``FEW_VECTORS`` different ones are counted
+    on the driver, more by an aggregation a pass."""
+    table = keep(vectors(found), "vectors")
+    sizes = {(r.held, r.label): r.vectors for r in table.groupBy("held", "label").agg(F.count("*").alias("vectors")).collect()}
+    model = None
+    if sizes.get((False, 0)) and sizes.get((False, 1)) and len(sizes) > 2:
+        model = _from_few(table) if sum(sizes.values()) <= FEW_VECTORS else _from_many(table)
+    release(table)
+    return model
+
+
+def _from_few(table: DataFrame) -> tuple[list[boosting.Tree], float] | None:
+    data = np.array(sorted(map(tuple, table.select("held", "label", "n", *FEATURES).collect())), np.float64)
+    held = data[:, 0] == 1
     taught, kept = data[~held], data[held]
-    if len({*taught[:, 0]}) < 2 or not len(kept):
-        return None
-    trees = boosting.fit(taught[:, 2:], taught[:, 0])
-    cut = boosting.threshold(boosting.log_odds(trees, kept[:, 2:]), kept[:, 0], PRECISION)
-    return None if cut is None else (trees, cut)
+    trees = boosting.fit(taught[:, 3:], taught[:, 1], taught[:, 2])
+    return _with_cut(trees, np.floor(boosting.log_odds(trees, kept[:, 3:]) / STEP), kept[:, 1], kept[:, 2])
+
+
+def _from_many(table: DataFrame) -> tuple[list[boosting.Tree], float] | None:
+    trees = boosting.fit_table(table.where("not held"), FEATURES, MOST)
+    odds = boosting.score(trees, lambda f: F.col(FEATURES[f]))
+    cells = table.where("held").groupBy(F.floor(odds / STEP).alias("step")).agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n"))
+    step, right, n = np.array([tuple(r) for r in cells.collect()], np.float64).T
+    return _with_cut(trees, step, right / n, n)
+
+
+def _with_cut(trees: list[boosting.Tree], step: np.ndarray, right: np.ndarray, n: np.ndarray) -> tuple[list[boosting.Tree], float] | None:
+    """The threshold in steps of log odds, so that held-out candidates make few."""
+    cut = boosting.threshold(step, right, PRECISION, n)
+    return None if cut is None else (trees, cut * STEP)
 
 
 def personal_spans(documents: DataFrame) -> DataFrame:

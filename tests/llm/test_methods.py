@@ -261,3 +261,20 @@ def test_sample_of_candidates_is_the_least_hashes(spark, monkeypatch):
         monkeypatch.setattr(pii, "TRAIN_ROWS", size)
         assert pii._sample(found, "base") == everything[:size]
     assert pii._sample(found.limit(0), "base") == []
+
+
+def test_trees_come_from_all_candidates(spark, monkeypatch):
+    """Counted on the driver or by aggregations, every candidate has its weight; no sample is drawn."""
+    rows = [(i, f"call +49 30 {1000000 + 37 * i % 900000} or x{i % 9}@y{i % 5}.org, no. {i % 50}-{10 + i % 17}-{i % 90}, tel. {i}.{i % 7}", None) for i in range(300)]
+    found = pii.candidates(spark.createDataFrame(rows, "doc_id long, text string, lang string")).cache()
+    monkeypatch.setattr(pii, "_sample", lambda *_: pytest.fail("a sample"))
+    monkeypatch.setattr(boosting, "TREES", 2)
+    counted = pii.vectors(found)
+    assert counted.agg(F.sum("n")).first()[0] == found.agg(F.sum(F.size("base") + F.size("proposed"))).first()[0]
+    few = pii.train(found)
+    monkeypatch.setattr(pii, "FEW_VECTORS", 0)
+    many = pii.train(found)
+    assert few and many and few[1] == many[1]
+    values = found.select(F.explode(F.concat("base", "proposed")).alias("s"))
+    odds = [F.round(boosting.score(m[0], lambda f: F.col("s")[pii.FEATURES[f]]), 9) for m in (few, many)]
+    assert values.where(odds[0] != odds[1]).isEmpty()
