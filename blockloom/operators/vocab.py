@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -22,7 +22,7 @@ from blockloom.functions.text import (
     TOKEN_SEPARATOR,
     UNK_ID,
 )
-from blockloom.operators.patching import Patch, patch_arrays
+from blockloom.operators.patching import Patch, miss_columns, numbering, patch_arrays
 from blockloom.operators.rows import with_row_index
 from blockloom.operators.steps import steps
 from blockloom.session import stored
@@ -150,7 +150,7 @@ def encode_fields(
     first = [_encoder(shared, f.add_bos, f.add_eos, True)(f.text).alias(f"_e{i}") for i, f in enumerate(fields)]
     rare = vocab.table.where(F.col("id") >= broadcast_rows).select(F.col("token").alias("key"), F.col("id").alias("value"))
     patches = [Patch(f"_e{i}", f.out) for i, f in enumerate(fields)]
-    return patch_arrays(df.select(*key, *keep, *first), patches, rare, limit=broadcast_rows)
+    return patch_arrays(df.select(*key, *keep, *first), patches, rare)
 
 
 # The functions below travel to the tasks whole: what they call is defined
@@ -159,10 +159,10 @@ def encode_fields(
 
 def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool, misses: bool = False):
     """Text to ids, whole Arrow columns at a time; with ``misses`` also the place
-    and the word of each one that is not known."""
-    cut = steps()
+    and the number of each word that is not known, see :class:`patching.Patch`."""
+    cut, begin, with_misses = steps(), numbering(), miss_columns("string")
 
-    def encoded(texts: pa.Array, known: dict[str, int]) -> pa.Array:
+    def encoded(texts: pa.Array, known: dict[str, int], number_of: Callable) -> pa.Array:
         pieces = pc.split_pattern_regex(pc.fill_null(texts, ""), TOKEN_SEPARATOR)
         words = pieces.flatten()
         real = pc.not_equal(words, "")
@@ -189,27 +189,26 @@ def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool, misses: bool = Fal
         if not misses:
             return lists
         unknown = np.flatnonzero(ids < 0)
-        starts = pa.array(np.searchsorted(unknown, ends), pa.int32())
         place = places[unknown] - np.repeat(offsets[:-1], np.diff(ends))[unknown]
-        word = words.dictionary.take(pa.array(number[unknown]))
-        columns = [lists, pa.ListArray.from_arrays(starts, pa.array(place, pa.int32())), pa.ListArray.from_arrays(starts, word.cast(pa.string()))]
-        return pa.StructArray.from_arrays(columns, names=["values", "place", "key"])
+        each, at = np.unique(number[unknown], return_inverse=True)
+        numbers, base, new = number_of([distinct[w] for w in each])
+        return with_misses(lists, np.searchsorted(unknown, ends), place, numbers[at], base, new)
 
-    @F.arrow_udf("struct<values:array<int>,place:array<int>,key:array<string>>" if misses else "array<int>")
+    @F.arrow_udf("struct<values:array<int>,place:array<int>,number:array<int>,base:int,key:array<string>>" if misses else "array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = shared.value
+        known, number_of = shared.value, begin()
         for texts in cut(batches):
-            yield encoded(texts, known)
+            yield encoded(texts, known, number_of)
 
     return ids_of
 
 
 def _decoder(shared: Broadcast, misses: bool = False):
     """Ids to tokens, whole Arrow columns at a time; with ``misses`` also the
-    place and the id of each one that is not known."""
-    cut = steps()
+    place and the number of each id that is not known, see :class:`patching.Patch`."""
+    cut, begin, with_misses = steps(), numbering(), miss_columns("int32")
 
-    def decoded(lists: pa.Array, numbers: np.ndarray, names: pa.Array) -> pa.Array:
+    def decoded(lists: pa.Array, numbers: np.ndarray, names: pa.Array, number_of: Callable) -> pa.Array:
         flat = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
         at = np.minimum(np.searchsorted(numbers, flat), max(len(numbers) - 1, 0))
         known = numbers[at] == flat if len(numbers) else np.zeros(len(flat), bool)
@@ -222,17 +221,18 @@ def _decoder(shared: Broadcast, misses: bool = False):
         if not misses:
             return out
         unknown = np.flatnonzero(~known & ~ignored)
-        starts = pa.array(np.searchsorted(unknown, offsets), pa.int32())
         place = unknown - np.repeat(offsets[:-1], lengths)[unknown]
-        columns = [out, pa.ListArray.from_arrays(starts, pa.array(place, pa.int32())), pa.ListArray.from_arrays(starts, pa.array(flat[unknown], pa.int32()))]
-        return pa.StructArray.from_arrays(columns, names=["values", "place", "key"])
+        each, at = np.unique(flat[unknown], return_inverse=True)
+        given, base, new = number_of(each.tolist())
+        return with_misses(out, np.searchsorted(unknown, offsets), place, given[at], base, new)
 
-    @F.arrow_udf("struct<values:array<string>,place:array<int>,key:array<int>>" if misses else "array<string>")
+    @F.arrow_udf("struct<values:array<string>,place:array<int>,number:array<int>,base:int,key:array<int>>" if misses else "array<string>")
     def tokens_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         numbers = np.fromiter(shared.value.values(), np.int64, len(shared.value))
         names = pa.array(list(shared.value), pa.string())
+        number_of = begin()
         for lists in cut(batches):
-            yield decoded(lists, numbers, names)
+            yield decoded(lists, numbers, names, number_of)
 
     return tokens_of
 
@@ -278,7 +278,7 @@ def decode(
         return df.select(*key, _decoder(vocab.shared)(ids).alias(out))
     first = df.select(*key, _decoder(vocab.frequent(broadcast_rows).shared, True)(ids).alias("_d"))
     rare = vocab.table.where(F.col("id") >= broadcast_rows).select(F.col("id").alias("key"), F.col("token").alias("value"))
-    return patch_arrays(first, [Patch("_d", out)], rare, limit=broadcast_rows)
+    return patch_arrays(first, [Patch("_d", out)], rare)
 
 
 def decode_text(

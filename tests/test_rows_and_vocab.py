@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from blockloom.operators import patching as P
 from blockloom.operators import rows as R
 from blockloom.operators import steps as S
 from blockloom.operators import vocab as V
@@ -200,3 +201,22 @@ def test_batches_are_cut_into_bounded_steps(spark, monkeypatch):
         ids = V.encode(df, vocab, key=["k"], add_eos=True, broadcast_rows=10)
         results.append((sorted(map(tuple, ids.collect())), sorted(map(tuple, V.decode(ids, vocab, ids="input_ids", key=["k"], broadcast_rows=10).collect()))))
     assert results[0] == results[1]
+
+
+def test_a_partition_asks_for_a_missed_key_once(spark, monkeypatch):
+    """Misses travel as numbers; a key is named once, or again where its number was forgotten."""
+    begin = P.numbering(2)
+    number = begin()
+    seen = [number(keys) for keys in (["a", "b"], ["b", "c"], ["b"])]
+    assert [(list(n), base, new) for n, base, new in seen] == [([0, 1], 0, ["a", "b"]), ([1, 2], 2, ["c"]), ([3], 3, ["b"])]
+    assert list(begin()(["b"])[0]) == [0]
+
+    monkeypatch.setattr(S, "STEP", 64)
+    df = texts(spark, random_texts()).coalesce(1)
+    shared = V.build_vocab(df).frequent(8).shared
+    first = df.select(V._encoder(shared, True, False, True)("text").alias("e"))
+    asked = [r[0] for r in first.select(F.explode("e.key")).collect()]
+    missed = first.agg(F.sum(F.size("e.place"))).first()[0]
+    assert len(asked) == len(set(asked)) < 30 and missed > 10 * len(asked)
+    plan = V.encode(df, V.build_vocab(df), key=["doc_id"], broadcast_rows=8)
+    assert sorted(map(tuple, plan.collect())) == sorted(map(tuple, V.encode(df, V.build_vocab(df), key=["doc_id"]).collect()))
