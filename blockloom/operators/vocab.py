@@ -292,11 +292,10 @@ def decode_text(
 
 def overlong(df: DataFrame, max_len: int, *, by: Sequence[str] = ("source",), ids: str = "input_ids") -> DataFrame:
     """Rows longer than the limit, counted per source."""
-    return (
-        df.where(F.size(ids) > max_len)
-        .groupBy(*by)
-        .agg(F.count("*").alias("n_overlong"), F.max(F.size(ids)).cast("bigint").alias("longest"))
-    )
+    # (a filter on the ids would have them made once more, to see which rows it leaves)
+    sized = df.select(*by, F.size(ids).alias("_n"))
+    counted = sized.groupBy(*by).agg(F.count(F.when(F.col("_n") > max_len, 1)).alias("n_overlong"), F.max("_n").cast("bigint").alias("longest"))
+    return counted.where("n_overlong > 0")
 
 
 def resolve_block_size(requested: Column | int | None, model_max: int, default: int = 1024) -> Column | int:

@@ -42,7 +42,7 @@ def test_whole_files_are_bounded(spark, monkeypatch):
     assert read[0].count() >= 40 and read[0].selectExpr("max(length(text) - length(replace(text, '\\n', ''))) as n").first().n <= 5
 
 
-@pytest.mark.parametrize("name, evaluations", [("top_logprobs", 3), ("text_offsets", 2)])
+@pytest.mark.parametrize("name, evaluations", [("top_logprobs", 3), ("text_offsets", 2), ("overlong_report", 1)])
 def test_results_are_evaluated_once(spark, name, evaluations):
     """Not once more to see whether a row has positions."""
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
