@@ -64,12 +64,16 @@ def first_pairs(entries: DataFrame, order: list[str], condition: Column | None =
     return paired.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
 
 
-def remaining_pairs(entries: DataFrame, found: DataFrame, condition: Column | None = None) -> DataFrame:
+def remaining_pairs(entries: DataFrame, found: DataFrame, condition: Column | None = None, more: DataFrame | None = None) -> DataFrame:
     """Pairs of nodes that share a bucket and are not yet in one component.
-    Buckets within one component drop out before anything is joined."""
+    Buckets within one component drop out before anything is joined. To the
+    entries that are left come the columns of ``more``, a row a ``node``, so that
+    the condition holds pairs back inside the join, before they are rows."""
     marked = entries.join(found.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = marked.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     left = marked.join(mixed, "key")
+    if more is not None:
+        left = left.join(more, "node")
     right = left.select(F.col("key").alias("p_key"), *(F.col(c).alias(f"p_{c}") for c in left.columns if c != "key"))
     on = (F.col("key") == F.col("p_key")) & (F.col("component") != F.col("p_component")) & (F.col("node") < F.col("p_node"))
     if condition is not None:

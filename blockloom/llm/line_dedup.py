@@ -90,32 +90,41 @@ def _with_sketch(lines: DataFrame) -> DataFrame:
     return _with_stretches(lines).select(*own, "n", F.struct(*map(word, range(BANDS))).alias("sketch"))
 
 
-def _near(a: str, b: str) -> Column:
+def _sketches_allow(n: str, sketch: str, p_n: str, p_sketch: str) -> Column:
     """Whether the sketches of two sets allow a link. A cell that differs holds a hash
     of one set only, and similar sets have at most (100 - SIMILAR) / (100 + SIMILAR)
     of both sizes of such hashes: no pair that links is held back."""
-    apart = sum((F.bit_count(F.col(f"sketch_{a}.s{w}").bitwiseXOR(F.col(f"sketch_{b}.s{w}"))) for w in range(BANDS)), F.lit(0))
-    return (100 + SIMILAR) * apart <= (100 - SIMILAR) * (F.col(f"n_{a}") + F.col(f"n_{b}"))
+    apart = sum((F.bit_count(F.col(f"{sketch}.s{w}").bitwiseXOR(F.col(f"{p_sketch}.s{w}"))) for w in range(BANDS)), F.lit(0))
+    return (100 + SIMILAR) * apart <= (100 - SIMILAR) * (F.col(n) + F.col(p_n))
+
+
+def _near(a: str, b: str) -> Column:
+    """Whether the sketches of a pair's two sets allow a link."""
+    return _sketches_allow(f"n_{a}", f"sketch_{a}", f"n_{b}", f"sketch_{b}")
 
 
-def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes that are similar. A line is shingled once for its sketch,
-    and again for each pair whose sketches allow a link. Lines move, not their sets, which
-    are eight times as large, and only those of a pair."""
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _texts(entries: DataFrame, lines: DataFrame) -> DataFrame:
+    """``node``, ``line``, ``n`` and ``sketch`` of each line that shares a band, shingled once for all its pairs."""
+    asked = entries.select("node").distinct()
     found = lines.join(sent(asked, asked.count()), "node", "left_semi")
     texts = found.groupBy("node").agg(F.first("line").alias("line"))
-    texts = keep(_with_sketch(texts.select("node", "line", _shingles("line").alias("shingles"))), "texts")
+    return keep(_with_sketch(texts.select("node", "line", _shingles("line").alias("shingles"))), "texts")
+
+
+def _near_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sketches allow a link."""
     side = lambda node: texts.select(F.col("node").alias(node), *(F.col(c).alias(f"{c}_{node}") for c in ("n", "sketch")))
-    both_near = pairs.join(side("a"), "a").join(side("b"), "b").where(_near("a", "b")).select("a", "b")
-    near = keep(both_near, "near")
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_near("a", "b")).select("a", "b")
+
+
+def _links(near: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes that are similar; lines are shingled again for each pair.
+    Lines move, not their sets, which are eight times as large, and only those of a pair."""
     line = lambda node: texts.select(F.col("node").alias(node), F.col("line").alias(f"l{node}"))
     sets = near.join(line("a"), "a").join(line("b"), "b").select("a", "b", _shingles("la").alias("sa"), _shingles("lb").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     sized = sets.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("n"))
-    out = keep(sized.where(100 * F.col("both") >= SIMILAR * (F.col("n") - F.col("both"))).select("a", "b"), "links")
-    release(texts, near)
-    return out
+    return keep(sized.where(100 * F.col("both") >= SIMILAR * (F.col("n") - F.col("both"))).select("a", "b"), "links")
 
 
 def repeated_lines(documents: DataFrame, short: bool = False) -> DataFrame:
@@ -131,17 +140,20 @@ def repeated_lines(documents: DataFrame, short: bool = False) -> DataFrame:
     each = banded.select("node", "n", F.explode_outer("bands").alias("key"))
     shared = each.withColumns({"low": F.min("node").over(bucket), "high": F.max("node").over(bucket)}).where("low <> high")
     entries = keep(shared.groupBy("key", "node", "n").agg((-F.count("*")).alias("rank")), "entries")
-    near_pairs = keep(first_pairs(entries, ["rank"], _may_link()), "pairs")
-    near = _links(near_pairs, lines)
+    texts = _texts(entries, lines)
+    near_pairs = keep(_near_pairs(first_pairs(entries, ["rank"], _may_link()), texts), "pairs")
+    near = _links(near_pairs, texts)
     found = components(near)
-    far_pairs = keep(remaining_pairs(entries, found, _may_link()), "pairs")
+    # (entries of a bucket in several components meet all others: what the sketches hold back never is a row)
+    allowed = _may_link() & _sketches_allow("n", "sketch", "p_n", "p_sketch")
+    far_pairs = keep(remaining_pairs(entries, found, allowed, texts.select("node", "sketch")), "pairs")
     release(entries, near_pairs)
     if not far_pairs.isEmpty():
-        far = _links(far_pairs, lines)
+        far = _links(far_pairs, texts)
         release(found)
         found = components(near.unionByName(far))
         release(far)
-    release(far_pairs, near)
+    release(texts, far_pairs, near)
     named = _lines(documents, short).select("doc_id", "tkey", "at", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey", "at")
     first = named.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")

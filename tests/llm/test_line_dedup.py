@@ -91,3 +91,28 @@ def test_query_against_all_pairs(spark):
         want[row.doc_id] = (len(lines), len(lines) - len(kept), "\n".join(kept) if lines else row.text)
     got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in QUERIES["op9_line_dedup"](spark, folder).collect()}
     assert got == want
+
+
+def test_unlike_lines_of_one_bucket_are_no_rows(spark, monkeypatch):
+    """Lines that share a passage, and with it bands, but differ in the rest: no pair of
+    them is stored, and near copies among them still go."""
+    rng = np.random.default_rng(9)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz      "))
+    text = lambda n: "".join(rng.choice(letters, n))
+    passage = text(120)
+    unlike = [passage + text(80) for _ in range(150)]
+    copies = [line[:-1] + "#" for line in unlike[:20]]
+    stored = []
+
+    def keep(df, label):
+        out = line_keep(df, label)
+        stored.append((label, out.count()))
+        return out
+
+    line_keep = line_dedup.keep
+    monkeypatch.setattr(line_dedup, "keep", keep)
+    rows = list(enumerate(unlike + copies))
+    gone = {r.doc_id for r in line_dedup.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert gone == set(range(150, 170))
+    pairs = [n for label, n in stored if label == "pairs"]
+    assert len(pairs) == 2 and sum(pairs) <= 100, stored
