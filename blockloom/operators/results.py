@@ -7,12 +7,13 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from blockloom.operators.steps import steps
-from blockloom.operators.vocab import BROADCAST_ROWS, Vocabulary, decode
+from blockloom.operators.vocab import BROADCAST_ROWS, Vocabulary, decode, decoding
 
 CHOICE = ("request_id", "idx")
 
@@ -41,38 +42,85 @@ def _chosen(logprobs: Column, token_id: Column) -> Column:
 # These functions travel to the tasks whole, see vocab.py.
 
 
+def _summing():
+    """Exclusive running sums of each list of an Arrow column."""
+
+    def sums_before(lists: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        values = pc.fill_null(lists.flatten(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        total = np.concatenate(([0], np.cumsum(values)))
+        out = total[:-1] - np.repeat(total[ends[:-1]], sizes)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out))
+
+    return sums_before
+
+
+def _mapping():
+    """Names and values of all alternatives of a row, cut into a map a position."""
+
+    def maps_of(names: pa.Array, values: pa.Array, sizes: pa.Array) -> pa.Array:
+        rows = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(sizes), 0).to_numpy(zero_copy_only=False))))
+        ends = np.concatenate(([0], np.cumsum(sizes.flatten().to_numpy(zero_copy_only=False))))
+        maps = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), names.flatten(), values.flatten())
+        return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), maps)
+
+    return maps_of
+
+
 def _sums_before():
-    """Exclusive running sums of each array, whole Arrow columns at a time."""
-    cut = steps()
+    cut, summed = steps(), _summing()
 
     @F.arrow_udf("array<bigint>")
     def sums_before(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in cut(batches):
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            ends = np.concatenate(([0], np.cumsum(sizes)))
-            values = pc.fill_null(lists.flatten(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            total = np.concatenate(([0], np.cumsum(values)))
-            out = total[:-1] - np.repeat(total[ends[:-1]], sizes)
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out))
+            yield summed(lists)
 
     return sums_before
 
 
 def _maps_of():
-    """Names and values of all alternatives of a row, cut into a map a position."""
-    cut = steps()
+    cut, mapped = steps(), _mapping()
 
     @F.arrow_udf("array<map<string,double>>")
     def maps_of(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for names, values, sizes in cut(batches):
-            rows = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(sizes), 0).to_numpy(zero_copy_only=False))))
-            ends = np.concatenate(([0], np.cumsum(sizes.flatten().to_numpy(zero_copy_only=False))))
-            maps = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), names.flatten(), values.flatten())
-            yield pa.ListArray.from_arrays(pa.array(rows, pa.int32()), maps)
+            yield mapped(names, values, sizes)
 
     return maps_of
 
 
+_TOKENS = {"tokens": "array<string>", "before": "array<bigint>"}
+_TOP = {"top": "array<map<string,double>>"}
+
+
+def _describer(shared: Broadcast, own: bool, alternatives: bool):
+    """In one evaluation, so in one worker a task: of ``own`` ids the tokens and the summed
+    lengths before each; of ``alternatives`` (ids, values, numbers) the maps."""
+    cut, named, summed, mapped = steps(), decoding(), _summing(), _mapping()
+    fields = (_TOKENS if own else {}) | (_TOP if alternatives else {})
+
+    def described(columns: tuple[pa.Array, ...], numbers: np.ndarray, names: pa.Array) -> pa.Array:
+        out = []
+        if own:
+            tokens = named(columns[0], numbers, names)
+            lengths = pc.cast(pc.utf8_length(tokens.values), pa.int64())
+            out += [tokens, summed(pa.ListArray.from_arrays(tokens.offsets, lengths))]
+        if alternatives:
+            ids, values, sizes = columns[-3:]
+            out.append(mapped(named(ids, numbers, names), values, sizes))
+        return pa.StructArray.from_arrays(out, names=list(fields))
+
+    @F.arrow_udf(f"struct<{','.join(f'{k}:{v}' for k, v in fields.items())}>")
+    def describe(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        numbers = np.fromiter(shared.value.values(), np.int64, len(shared.value))
+        names = pa.array(list(shared.value), pa.string())
+        for columns in cut(batches):
+            yield described(columns if isinstance(columns, tuple) else (columns,), numbers, names)
+
+    return describe
+
+
 def _paired(df: DataFrame) -> DataFrame:
     """``token_ids`` and ``logprobs`` cut to the shorter of the two; null counts as empty."""
     ids = F.coalesce("token_ids", F.array().cast("array<int>"))
@@ -89,11 +137,18 @@ def _named_ids(df: DataFrame, vocab: Vocabulary, ids: str, out: str, broadcast_r
 def text_offsets(df: DataFrame, vocab: Vocabulary, *, initial: int = 0, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add the arrays ``tokens`` and ``text_offset``: for each of ``token_ids`` its
     token, and the summed length of the tokens before it, from ``initial``."""
+    if vocab.rows() <= broadcast_rows:
+        made = df.withColumn("_made", _describer(vocab.shared, True, False)("token_ids"))
+        return _placed(made, initial).drop("_made")
     named = _named_ids(df, vocab, "token_ids", "tokens", broadcast_rows)
     before = _sums_before()(F.transform("tokens", lambda t: F.length(t).cast("bigint")))
     return named.withColumn("text_offset", F.transform(before, lambda at: at + F.lit(initial)))
 
 
+def _placed(made: DataFrame, initial: int) -> DataFrame:
+    return made.withColumns({"tokens": F.col("_made.tokens"), "text_offset": F.transform("_made.before", lambda at: at + F.lit(initial))})
+
+
 def top_logprobs(df: DataFrame, vocab: Vocabulary, *, k: int | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add the array ``top_logprobs``: per position of ``logprobs`` the
     alternatives as a map token -> log-probability, all of them or the ``k``
@@ -102,6 +157,19 @@ def top_logprobs(df: DataFrame, vocab: Vocabulary, *, k: int | None = None, broa
     Alternatives are ranked inside the row's array, named in one array, and cut
     apart again by their numbers.
     """
+    flat = _flat(df, k)
+    if vocab.rows() <= broadcast_rows:
+        made = flat.withColumn("top_logprobs", _describer(vocab.shared, False, True)(*_ALTERNATIVES)["top"])
+        return made.drop(*_ALTERNATIVES)
+    named = _named_ids(flat, vocab, "_ids", "_names", broadcast_rows)
+    return named.withColumn("top_logprobs", _maps_of()("_names", "_values", "_n")).drop(*_ALTERNATIVES, "_names")
+
+
+_ALTERNATIVES = ("_ids", "_values", "_n")
+
+
+def _flat(df: DataFrame, k: int | None) -> DataFrame:
+    """Add the alternatives of all positions in one array: ids, values, and how many each position has."""
     entries = "array<struct<minus:double,id:int>>"
     ranked = F.transform(
         F.coalesce("logprobs", F.array().cast(df.schema["logprobs"].dataType)),
@@ -111,16 +179,13 @@ def top_logprobs(df: DataFrame, vocab: Vocabulary, *, k: int | None = None, broa
         ),
     )
     best = ranked if k is None else F.transform(ranked, lambda alternatives: F.slice(alternatives, 1, k))
-    flat = df.withColumn("_best", best)
-    flat = flat.withColumns(
+    return df.withColumn("_best", best).withColumns(
         {
             "_n": F.transform("_best", lambda alternatives: F.size(alternatives).cast("bigint")),
             "_ids": F.transform(F.flatten("_best"), lambda e: e["id"]),
             "_values": F.transform(F.flatten("_best"), lambda e: -e["minus"]),
         }
     ).drop("_best")
-    named = _named_ids(flat, vocab, "_ids", "_names", broadcast_rows)
-    return named.withColumn("top_logprobs", _maps_of()("_names", "_values", "_n")).drop("_n", "_ids", "_values", "_names")
 
 
 def logprobs_record(
@@ -134,8 +199,12 @@ def logprobs_record(
     chosen token without a log-probability raises.  No token row is made.
     """
     asked = df.withColumns({"_asked": F.col("logprobs").isNotNull(), "_whole": F.col("token_ids")})
-    placed = text_offsets(_paired(asked), vocab, initial=initial, broadcast_rows=broadcast_rows)
-    named = top_logprobs(placed, vocab, broadcast_rows=broadcast_rows)
+    if vocab.rows() <= broadcast_rows:
+        made = _flat(_paired(asked), None).withColumn("_made", _describer(vocab.shared, True, True)("token_ids", *_ALTERNATIVES))
+        named = _placed(made, initial).withColumn("top_logprobs", F.col("_made.top"))
+    else:
+        placed = text_offsets(_paired(asked), vocab, initial=initial, broadcast_rows=broadcast_rows)
+        named = top_logprobs(placed, vocab, broadcast_rows=broadcast_rows)
     own = F.transform(F.arrays_zip("token_ids", "logprobs"), lambda z: _chosen(z["logprobs"], z["token_ids"]))
     record = F.struct("text_offset", own.alias("token_logprobs"), "tokens", "top_logprobs")
     kept = [F.col("_whole").alias(c) if c == "token_ids" else F.col(f"`{c}`") for c in df.columns if c not in (out, "logprobs")]

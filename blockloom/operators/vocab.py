@@ -203,12 +203,12 @@ def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool, misses: bool = Fal
     return ids_of
 
 
-def _decoder(shared: Broadcast, misses: bool = False):
-    """Ids to tokens, whole Arrow columns at a time; with ``misses`` also the
-    place and the number of each id that is not known, see :class:`patching.Patch`."""
-    cut, begin, with_misses = steps(), numbering(), miss_columns("int32")
+def decoding(misses: bool = False):
+    """Names the ids of an Arrow column of lists: a function of the column, the known ids
+    ascending and their tokens, and with ``misses`` a task's numbers."""
+    with_misses = miss_columns("int32")
 
-    def decoded(lists: pa.Array, numbers: np.ndarray, names: pa.Array, number_of: Callable) -> pa.Array:
+    def decoded(lists: pa.Array, numbers: np.ndarray, names: pa.Array, number_of: Callable | None = None) -> pa.Array:
         flat = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
         at = np.minimum(np.searchsorted(numbers, flat), max(len(numbers) - 1, 0))
         known = numbers[at] == flat if len(numbers) else np.zeros(len(flat), bool)
@@ -226,6 +226,14 @@ def _decoder(shared: Broadcast, misses: bool = False):
         given, base, new = number_of(each.tolist())
         return with_misses(out, np.searchsorted(unknown, offsets), place, given[at], base, new)
 
+    return decoded
+
+
+def _decoder(shared: Broadcast, misses: bool = False):
+    """Ids to tokens, whole Arrow columns at a time; with ``misses`` also the
+    place and the number of each id that is not known, see :class:`patching.Patch`."""
+    cut, begin, decoded = steps(), numbering(), decoding(misses)
+
     @F.arrow_udf("struct<values:array<string>,place:array<int>,number:array<int>,base:int,key:array<int>>" if misses else "array<string>")
     def tokens_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         numbers = np.fromiter(shared.value.values(), np.int64, len(shared.value))

@@ -198,6 +198,17 @@ def test_results_exchange_no_token_rows(spark):
     assert "Exchange" not in plan and "Generate" not in plan and "Window" not in plan
 
 
+def test_results_take_one_worker_a_task(spark):
+    """Names, offsets and alternatives come from one evaluation in Python: the parts that
+    once were an evaluation each had a worker each, held at the same time."""
+    vocab = build_vocab(spark.createDataFrame([("aa aa b",)], "text string"))
+    df = spark.createDataFrame([("r", 0, [4, 5, 4], [{4: -1.0, 5: -2.0}, {5: -0.5}, {4: 0.0}])], RESULTS)
+    made = {"record": U.logprobs_record(df, vocab), "offsets": U.text_offsets(df, vocab), "top": U.top_logprobs(df, vocab, k=1)}
+    plans = {name: out._jdf.queryExecution().optimizedPlan().toString() for name, out in made.items()}
+    assert {name: plan.count("ArrowEvalPython") for name, plan in plans.items()} == {"record": 1, "offsets": 1, "top": 1}
+    assert made["offsets"].first()["text_offset"] == [0, 2, 3] and made["top"].first()["top_logprobs"] == [{"aa": -1.0}, {"b": -0.5}, {"aa": 0.0}]
+
+
 def test_snapshots(spark):
     rows = [("r", 0, 0, "He", [1]), ("r", 0, 1, "Hello", [1, 2]), ("r", 0, 2, "Hello", [1, 2])]
     df = spark.createDataFrame(rows, "request_id string, idx int, step int, text string, token_ids array<int>")
