@@ -144,23 +144,29 @@ def encode_fields(
     key, keep = list(key), list(keep)
     if vocab.rows() <= broadcast_rows:
         shared = vocab.shared
-        ids = [_encoder(shared, f.add_bos, f.add_eos)(f.text).alias(f.out) for f in fields]
-        return df.select(*key, *keep, *ids)
+        return _encoded(df, [*key, *keep], shared, fields, [f.out for f in fields])
     shared = vocab.frequent(broadcast_rows).shared
-    first = [_encoder(shared, f.add_bos, f.add_eos, True)(f.text).alias(f"_e{i}") for i, f in enumerate(fields)]
+    first = _encoded(df, [*key, *keep], shared, fields, [f"_e{i}" for i in range(len(fields))], True)
     rare = vocab.table.where(F.col("id") >= broadcast_rows).select(F.col("token").alias("key"), F.col("id").alias("value"))
     patches = [Patch(f"_e{i}", f.out) for i, f in enumerate(fields)]
-    return patch_arrays(df.select(*key, *keep, *first), patches, rare)
+    return patch_arrays(first, patches, rare)
+
+
+def _encoded(df: DataFrame, kept: Sequence[str], shared: Broadcast, fields: Sequence[Field], out: Sequence[str], misses: bool = False) -> DataFrame:
+    """``kept`` and the ids of all fields, from one evaluation: a task has one worker, however many fields there are."""
+    if len(fields) == 1:
+        return df.select(*kept, _encoder(shared, fields[0].add_bos, fields[0].add_eos, misses)(fields[0].text).alias(out[0]))
+    made = df.select(*kept, _encoder_of_all(shared, [(f.add_bos, f.add_eos) for f in fields], misses)(*(f.text for f in fields)).alias("_made"))
+    return made.select(*kept, *(F.col(f"_made.f{i}").alias(name) for i, name in enumerate(out)))
 
 
 # The functions below travel to the tasks whole: what they call is defined
 # inside, so that workers need not have this package.
 
 
-def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool, misses: bool = False):
-    """Text to ids, whole Arrow columns at a time; with ``misses`` also the place
-    and the number of each word that is not known, see :class:`patching.Patch`."""
-    cut, begin, with_misses = steps(), numbering(), miss_columns("string")
+def _encoding(add_bos: bool, add_eos: bool, misses: bool):
+    """The ids of an Arrow column of texts: a function of the column, the known ids and a task's numbers."""
+    with_misses = miss_columns("string")
 
     def encoded(texts: pa.Array, known: dict[str, int], number_of: Callable) -> pa.Array:
         pieces = pc.split_pattern_regex(pc.fill_null(texts, ""), TOKEN_SEPARATOR)
@@ -194,7 +200,33 @@ def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool, misses: bool = Fal
         numbers, base, new = number_of([distinct[w] for w in each])
         return with_misses(lists, np.searchsorted(unknown, ends), place, numbers[at], base, new)
 
-    @F.arrow_udf("struct<values:array<int>,place:array<int>,number:array<int>,base:int,key:array<string>>" if misses else "array<int>")
+    return encoded
+
+
+def _encoded_type(misses: bool) -> str:
+    return "struct<values:array<int>,place:array<int>,number:array<int>,base:int,key:array<string>>" if misses else "array<int>"
+
+
+def _encoder_of_all(shared: Broadcast, marks: Sequence[tuple[bool, bool]], misses: bool):
+    """As :func:`_encoder`, several columns at once: a struct of ``f0`` and so on."""
+    cut, begin, encoded = steps(), numbering(), [_encoding(bos, eos, misses) for bos, eos in marks]
+    names = [f"f{i}" for i in range(len(marks))]
+
+    @F.arrow_udf(f"struct<{','.join(f'{name}:{_encoded_type(misses)}' for name in names)}>")
+    def ids_of_all(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        known, numbers = shared.value, [begin() for _ in names]
+        for columns in cut(batches):
+            yield pa.StructArray.from_arrays([of(texts, known, n) for of, texts, n in zip(encoded, columns, numbers)], names=names)
+
+    return ids_of_all
+
+
+def _encoder(shared: Broadcast, add_bos: bool, add_eos: bool, misses: bool = False):
+    """Text to ids, whole Arrow columns at a time; with ``misses`` also the place
+    and the number of each word that is not known, see :class:`patching.Patch`."""
+    cut, begin, encoded = steps(), numbering(), _encoding(add_bos, add_eos, misses)
+
+    @F.arrow_udf(_encoded_type(misses))
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known, number_of = shared.value, begin()
         for texts in cut(batches):

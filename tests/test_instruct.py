@@ -92,3 +92,15 @@ def test_examples_end_to_end(spark):
         assert r["input_ids"][0] == 1 and r["labels"][0] == -100
     dropped = I.encode_pairs(df, vocab, key=["k"], drop_missing_output=True)
     assert dropped.count() == 1
+
+
+def test_examples_take_one_worker_a_task(spark):
+    """Prompt and answer are encoded by one evaluation in Python; once each had its own,
+    with its own worker. With a cut vocabulary the misses of each are patched as before."""
+    vocab = build_vocab(spark.createDataFrame([("aa aa b c",)], "text string"))
+    df = spark.createDataFrame([(1, "aa c", "b", "c zz aa"), (2, "b", None, None)], "k int, instruction string, input string, output string")
+    made = I.instruction_examples(df, vocab, key=["k"])
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    whole = {r.k: (r.source_ids, r.target_ids) for r in I.encode_pairs(df, vocab, key=["k"]).collect()}
+    assert whole[1][1] == [6, 0, 4, 2] and whole[2][1] == [0, 2]
+    assert {r.k: (r.source_ids, r.target_ids) for r in I.encode_pairs(df, vocab, key=["k"], broadcast_rows=5).collect()} == whole
