@@ -14,6 +14,8 @@ Only DataFrame functions are used; no row leaves the JVM.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -28,6 +30,9 @@ SHINGLE = 5
 #: fifth, as most of one language have, meet with 0.005.
 BANDS, ROWS = 16, 5
 SIMILAR = 80
+#: Of a bucket's only two lines, so many stretches have to begin with the same hash, as far as
+#: four bits tell. Similarity 0.8 has fewer with a probability under 0.00002, 0.1 with 0.93.
+ALIKE = 6
 #: Shorter lines are compared whole, if they take part: a set of so few shingles is no measure of likeness.
 MIN_CHARS = 20
 
@@ -62,7 +67,8 @@ def _with_stretches(lines: DataFrame) -> DataFrame:
 
 
 def _with_bands(lines: DataFrame) -> DataFrame:
-    """``n`` and ``bands``: the keys, one of each stretch that has a hash."""
+    """``n``, ``bands``: the keys, one of each stretch that has a hash, and ``firsts``:
+    four bits of each stretch's first hash, zeros where it has none."""
     own = [c for c in lines.columns if c != "shingles"]
     out = _with_stretches(lines).withColumn("circle", F.concat("shingles", F.slice("shingles", 1, ROWS - 1)))
 
@@ -70,12 +76,45 @@ def _with_bands(lines: DataFrame) -> DataFrame:
         at = F.col(f"at{b}")
         return F.when(at < F.col(f"at{b + 1}"), F.xxhash64(F.lit(b), F.slice("circle", at, F.lit(ROWS))))
 
-    return out.select(*own, "n", F.array_compact(F.array(*map(key, range(BANDS)))).alias("bands"))
+    def first(b: int) -> Column:
+        at = F.col(f"at{b}")
+        return F.when(at < F.col(f"at{b + 1}"), F.shiftleft(F.get("shingles", at - 1).bitwiseAND(15), 4 * b)).otherwise(F.lit(0).cast("long"))
+
+    firsts = reduce(Column.bitwiseOR, map(first, range(BANDS)))
+    return out.select(*own, "n", firsts.alias("firsts"), F.array_compact(F.array(*map(key, range(BANDS)))).alias("bands"))
 
 
-def _may_link() -> Column:
+def _may_link(n: str = "n", p_n: str = "p_n") -> Column:
     """Whether the sizes of an entry and another (``p_``) allow a link."""
-    return 100 * F.least("n", "p_n") >= SIMILAR * F.greatest("n", "p_n")
+    return 100 * F.least(n, p_n) >= SIMILAR * F.greatest(n, p_n)
+
+
+def _alike(firsts: str, p_firsts: str) -> Column:
+    """Whether enough stretches of two lines begin alike."""
+    apart = F.col(firsts).bitwiseXOR(F.col(p_firsts))
+    any_bit = reduce(Column.bitwiseOR, (F.shiftrightunsigned(apart, k) for k in range(4)))
+    return BANDS - F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111))) >= ALIKE
+
+
+def _entries(shared: DataFrame) -> DataFrame:
+    """``key``, ``node``, ``n`` and ``rank`` (fewer for more lines) of the entries that may have a link
+    in their bucket. Most buckets of unlike lines hold two by chance; they go here, before they are pairs."""
+    bucket = W.partitionBy("key")
+    each = _of_like_size(shared).groupBy("key", "node", "n", "firsts").agg((-F.count("*")).alias("rank"))
+    own = F.struct("node", "n", "firsts")
+    held = each.withColumns({"m": F.count("*").over(bucket), "a": F.min(own).over(bucket), "b": F.max(own).over(bucket)})
+    two = (F.col("m") == 2) & _may_link("a.n", "b.n") & _alike("a.firsts", "b.firsts")
+    return held.where((F.col("m") > 2) | two).select("key", "node", "n", "rank")
+
+
+def _of_like_size(shared: DataFrame) -> DataFrame:
+    """The entries beside which, by size, one stands in their bucket whose size allows a
+    link. Between two of like size all others are so too: whatever is dropped has no link there."""
+    by_size = W.partitionBy("key").orderBy("n", "node")
+    beside = shared.withColumns({"before": F.lag("n").over(by_size), "after": F.lead("n").over(by_size)})
+    # (least and greatest pass over nulls, which stand where a bucket ends)
+    like = [F.col(other).isNotNull() & _may_link("n", other) for other in ("before", "after")]
+    return beside.where(like[0] | like[1]).drop("before", "after")
 
 
 def _with_sketch(lines: DataFrame) -> DataFrame:
@@ -137,9 +176,9 @@ def repeated_lines(documents: DataFrame, short: bool = False) -> DataFrame:
     # one exchange brings a band's entries together; those of a single line go there
     bucket = W.partitionBy("key")
     # (a plain explode would have all of the above evaluated once more, to see whether there are bands)
-    each = banded.select("node", "n", F.explode_outer("bands").alias("key"))
+    each = banded.select("node", "n", "firsts", F.explode_outer("bands").alias("key"))
     shared = each.withColumns({"low": F.min("node").over(bucket), "high": F.max("node").over(bucket)}).where("low <> high")
-    entries = keep(shared.groupBy("key", "node", "n").agg((-F.count("*")).alias("rank")), "entries")
+    entries = keep(_entries(shared), "entries")
     texts = _texts(entries, lines)
     near_pairs = keep(_near_pairs(first_pairs(entries, ["rank"], _may_link()), texts), "pairs")
     near = _links(near_pairs, texts)

@@ -116,3 +116,25 @@ def test_unlike_lines_of_one_bucket_are_no_rows(spark, monkeypatch):
     assert gone == set(range(150, 170))
     pairs = [n for label, n in stored if label == "pairs"]
     assert len(pairs) == 2 and sum(pairs) <= 100, stored
+
+
+def test_two_unlike_lines_of_a_bucket_are_no_entries(spark):
+    """Sets of a tenth and of four fifths, one bucket a pair: the unlike are held back, by size
+    or by their stretches' first hashes; the similar stay, at any size and as repeated rows."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(1200):
+        n = int(rng.integers(16, 600))
+        pool = rng.permutation(np.unique(rng.integers(-(2**63), 2**63 - 1, 2 * n)))
+        shared = -(-8 * n // 9) if i % 2 else n // 5
+        sets = pool[:n], np.concatenate([pool[:shared], pool[n : 2 * n - shared]])
+        rows += [(i, 2 * i + side, sorted(map(int, s))) for side, s in enumerate(sets)]
+    rows += [(1200, 2400, list(range(100))), (1200, 2401, list(range(10))), (1201, 2402, [7, 8])]
+    shared = line_dedup._with_bands(spark.createDataFrame(rows, "key long, node long, shingles array<long>")).drop("bands")
+    entries = line_dedup._entries(shared.unionByName(shared.where("key % 3 = 0 or key = 1201"))).collect()
+    held = defaultdict(list)
+    for r in entries:
+        held[r.key].append((r.node, r.rank))
+    assert all(sorted(held[i]) == [(2 * i, -1 - (i % 3 == 0)), (2 * i + 1, -1 - (i % 3 == 0))] for i in range(1, 1200, 2))
+    assert sum(i in held for i in range(0, 1200, 2)) < 60
+    assert 1200 not in held and 1201 not in held
