@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from blockloom.llm.common import keep, release, same, sent, text_key
-from blockloom.llm.components import components, first_pairs, remaining_pairs
+from blockloom.llm.components import components, remaining_pairs
 from blockloom.llm.quality import let
 
 SHINGLE = 5
@@ -74,7 +74,8 @@ def _with_bands(lines: DataFrame) -> DataFrame:
 
     def key(b: int) -> Column:
         at = F.col(f"at{b}")
-        return F.when(at < F.col(f"at{b + 1}"), F.xxhash64(F.lit(b), F.slice("circle", at, F.lit(ROWS))))
+        # (48 bits are exchanged; what meets by chance is compared as sets in any case)
+        return F.when(at < F.col(f"at{b + 1}"), F.xxhash64(F.lit(b), F.slice("circle", at, F.lit(ROWS))).bitwiseAND(-(1 << 16)))
 
     def first(b: int) -> Column:
         at = F.col(f"at{b}")
@@ -98,13 +99,21 @@ def _alike(firsts: str, p_firsts: str) -> Column:
 
 def _entries(shared: DataFrame) -> DataFrame:
     """``key``, ``node``, ``n`` and ``rank`` (fewer for more lines) of the entries that may have a link
-    in their bucket. Most buckets of unlike lines hold two by chance; they go here, before they are pairs."""
+    in their bucket, and ``p_node`` and ``p_n`` of the bucket's first by rank. Most buckets of unlike
+    lines hold two by chance; they go here, before they are pairs."""
     bucket = W.partitionBy("key")
     each = _of_like_size(shared).groupBy("key", "node", "n", "firsts").agg((-F.count("*")).alias("rank"))
     own = F.struct("node", "n", "firsts")
-    held = each.withColumns({"m": F.count("*").over(bucket), "a": F.min(own).over(bucket), "b": F.max(own).over(bucket)})
+    first = F.min(F.struct("rank", "node", "n")).over(bucket)
+    held = each.withColumns({"m": F.count("*").over(bucket), "a": F.min(own).over(bucket), "b": F.max(own).over(bucket), "p": first})
     two = (F.col("m") == 2) & _may_link("a.n", "b.n") & _alike("a.firsts", "b.firsts")
-    return held.where((F.col("m") > 2) | two).select("key", "node", "n", "rank")
+    return held.where((F.col("m") > 2) | two).select("key", "node", "n", "rank", F.col("p.node").alias("p_node"), F.col("p.n").alias("p_n"))
+
+
+def _first_pairs(entries: DataFrame) -> DataFrame:
+    """Pairs (a, b) of every bucket's first node with its others, which know it: nothing is joined."""
+    beside = entries.where("node <> p_node").where(_may_link())
+    return beside.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
 
 
 def _of_like_size(shared: DataFrame) -> DataFrame:
@@ -180,12 +189,14 @@ def repeated_lines(documents: DataFrame, short: bool = False) -> DataFrame:
     shared = each.withColumns({"low": F.min("node").over(bucket), "high": F.max("node").over(bucket)}).where("low <> high")
     entries = keep(_entries(shared), "entries")
     texts = _texts(entries, lines)
-    near_pairs = keep(_near_pairs(first_pairs(entries, ["rank"], _may_link()), texts), "pairs")
+    near_pairs = keep(_near_pairs(_first_pairs(entries), texts), "pairs")
     near = _links(near_pairs, texts)
     found = components(near)
-    # (entries of a bucket in several components meet all others: what the sketches hold back never is a row)
+    # A bucket's first has been held against all others, so it needs no more, nor do buckets of two.
+    # (other entries of a bucket in several components meet all others: what the sketches hold back never is a row)
+    others = entries.where("node <> p_node").select("key", "node", "n")
     allowed = _may_link() & _sketches_allow("n", "sketch", "p_n", "p_sketch")
-    far_pairs = keep(remaining_pairs(entries, found, allowed, texts.select("node", "sketch")), "pairs")
+    far_pairs = keep(remaining_pairs(others, found, allowed, texts.select("node", "sketch")), "pairs")
     release(entries, near_pairs)
     if not far_pairs.isEmpty():
         far = _links(far_pairs, texts)

@@ -138,3 +138,23 @@ def test_two_unlike_lines_of_a_bucket_are_no_entries(spark):
     assert all(sorted(held[i]) == [(2 * i, -1 - (i % 3 == 0)), (2 * i + 1, -1 - (i % 3 == 0))] for i in range(1, 1200, 2))
     assert sum(i in held for i in range(0, 1200, 2)) < 60
     assert 1200 not in held and 1201 not in held
+
+
+def test_a_bucket_is_held_against_its_first_once(spark, monkeypatch):
+    """Two lines of a bucket are compared once; of three, the two that are not the first meet again."""
+    rng = np.random.default_rng(13)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz      "))
+    lines = ["".join(rng.choice(letters, 150)) for _ in range(30)]
+    rows = [(3 * i, line) for i, line in enumerate(lines)] + [(3 * i + 1, line + "#") for i, line in enumerate(lines)]
+    rows += [(3 * i + 2, line + "+") for i, line in enumerate(lines) if i < 10]
+    asked = []
+    again = line_dedup.remaining_pairs
+
+    def remaining_pairs(entries, *rest):
+        asked.extend(r["count"] for r in entries.groupBy("key").count().collect())
+        return again(entries, *rest)
+
+    monkeypatch.setattr(line_dedup, "remaining_pairs", remaining_pairs)
+    gone = {r.doc_id for r in line_dedup.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert gone == {i for i, _ in rows if i % 3}
+    assert set(asked) == {1, 2} and asked.count(1) > asked.count(2)
